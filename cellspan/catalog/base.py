@@ -69,7 +69,7 @@ from sites where context like 'CG%' group by 1,2,3,4
 
 _DMR = """
 select a.sample_id, concat(a.cell_type, '_vs_', b.cell_type) comparison, a.cell_type cell_type_a, b.cell_type cell_type_b,
- a.chrom, a.w*500 + (a.cov + b.cov) % 400 {q}start{q}, a.w*500 + (a.cov + b.cov) % 400 + 300 + (a.mc + b.mc) % 500 {q}end{q},
+ a.chrom, a.w*500 + (a.cov + b.cov) % 400 {q}start{q}, a.w*500 + (a.cov + b.cov) % 400 + 60 + (a.mc + b.mc) % 100 {q}end{q},
  cast(a.mc as double)/a.cov meth_a, cast(b.mc as double)/b.cov meth_b,
  case when cast(a.mc as double)/a.cov < cast(b.mc as double)/b.cov then 'group_A' else 'group_B' end low_group,
  cast((a.mc*7 + b.mc*11) % 200 as double)/10000 raw_p

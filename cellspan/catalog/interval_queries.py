@@ -50,9 +50,9 @@ def j6(t):
 
 @add("j7_non_overlapping", duck("""
 select chrom, "start", "end", cell_type_a, cell_type_b from dmr d where not exists (select 1 from regions r where r.chrom=d.chrom
- and r."start" < d."end" and d."start" < r."end" and r.peak_var >= 2)""", "regions", "dmr"))
+ and r."start" < d."end" and d."start" < r."end")""", "regions", "dmr"))
 def j7(t):
-    return I.non_overlapping(t.dmr.select("chrom", "start", "end", "cell_type_a", "cell_type_b"), t.regions.where("peak_var >= 2"))
+    return I.non_overlapping(t.dmr.select("chrom", "start", "end", "cell_type_a", "cell_type_b"), t.regions)
 
 
 @add("p10_canonical_chroms", duck("""
@@ -251,13 +251,13 @@ pooled as (select chrom, "start", "end", 'PDMR_' || lpad(cast(row_number() over
  select chrom, min("start") "start", max("end") "end" from (
  select *, sum(case when m is null or "start" >= m then 1 else 0 end) over (partition by chrom order by "start", "end" rows unbounded preceding) g from (
  select *, max("end") over (partition by chrom order by "start", "end" rows between unbounded preceding and 1 preceding) m from (
-  select chrom, "start", "end" from dmr where raw_p < 0.01 and abs(meth_a-meth_b) >= 0.25 and "end" - "start" < 320))) group by chrom, g) join chrom_order using (chrom)),
+  select chrom, "start", "end" from dmr where raw_p < 0.01 and abs(meth_a-meth_b) >= 0.25))) group by chrom, g) join chrom_order using (chrom)),
 kept as (select * from pooled d where not exists (select 1 from vmr v where v.chrom=d.chrom and v."start" < d."end" and d."start" < v."end"))"""
 
 
 def _vmr_and_dmr(t):
     vmr = FT.rank_regions(FT.with_coverage(region_counts(t), t.regions), t.cells, 30, floor_percent=0.5)
-    hits = t.dmr.where("raw_p < 0.01 and abs(meth_a - meth_b) >= 0.25 and end - start < 320")
+    hits = t.dmr.where("raw_p < 0.01 and abs(meth_a - meth_b) >= 0.25")
     pooled = I.number_features(I.merge_overlapping(hits), t.chrom_order, "PDMR_%06d")
     return vmr, pooled.withColumnRenamed("feature_rank", "selection_rank")
 
