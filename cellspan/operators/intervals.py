@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from cellspan.functions.columns import bin_index, overlap_length
 from cellspan.plans.prefix import global_row_number, tile_running_max
+from cellspan.plans.storage import cut_lineage
 
 BIN = 10_000
 
@@ -151,7 +152,8 @@ def merge_overlapping(
     for c in min_of:
         firsts.append(F.min(c).alias(c))
         merges.append(F.min(c).alias(c))
-    starts = intervals.groupBy(*group, "start").agg(*firsts)
+    # the scans below read this table several times: compute the input once
+    starts = cut_lineage(intervals.groupBy(*group, "start").agg(*firsts))
     reach = tile_running_max(
         starts.withColumn("__reach", F.col("end") + F.lit(bridge_gaps).cast("long")),
         group, "start", "__reach", "__prior", inclusive=False,
