@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-_MODULES = ("site_queries", "interval_queries", "cell_queries", "region_queries", "methylation_queries")
+_MODULES = ("site_queries", "interval_queries", "cell_queries", "region_queries", "methylation_queries", "expression_queries")
 
 
 def _registry():
