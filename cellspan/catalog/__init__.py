@@ -2,7 +2,10 @@
 
 from importlib import import_module
 
-_MODULES = ("site_queries", "interval_queries", "cell_queries", "region_queries", "methylation_queries", "expression_queries")
+_MODULES = (
+    "site_queries", "interval_queries", "cell_queries", "region_queries", "methylation_queries",
+    "expression_queries", "embedding_queries",
+)
 
 
 def _registry():
