@@ -39,7 +39,7 @@ def m11_expression(t):
 
 @add("m12_pca_impute")
 def m12(t):
-    # every fifth coordinate below its threshold counts as unobserved
+    # coordinates close to zero count as unobserved
     gaps = t.embedding.select("cell_id", F.transform("vec", lambda x: F.when(F.abs(x) >= 0.01, x)).alias("vec"))
     filled, _ = L.pca_impute(gaps, 5, 4)
     return filled.select("cell_id", F.transform("vec", lambda x: F.round(x, 5)).alias("vec"))
@@ -185,7 +185,8 @@ def a18(t):
     return MX.dataset_fingerprint(t.sites)
 
 
-@add("a18_ordered_fingerprint", duck("""select count(*) n_rows, sha256(string_agg(bucket || ':' || h, chr(10) order by bucket)) fingerprint from (
- select left(sha256(l), 3) bucket, sha256(string_agg(sha256(l), '' order by sha256(l))) h from (select cell_id || chr(9) || cell_type l from cells) group by 1)""".replace("count(*) n_rows", "(select count(*) from cells) n_rows"), "cells"))
+@add("a18_ordered_fingerprint", duck("""
+select (select count(*) from sites) n_rows, sha256(string_agg(bucket || ':' || h, chr(10) order by bucket)) fingerprint from (
+ select left(l, 3) bucket, sha256(string_agg(l || 'x' || n, '' order by l)) h from (select sha256(sample_id || chr(9) || chrom || chr(9) || cast(pos as varchar)) l, count(*) n from sites group by 1) group by 1)""", "sites"))
 def a18_ordered(t):
-    return MX.ordered_fingerprint(t.cells, ["cell_id", "cell_type"])
+    return MX.ordered_fingerprint(t.sites, ["sample_id", "chrom", "pos"])

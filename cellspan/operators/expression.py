@@ -17,6 +17,7 @@ from cellspan.functions.columns import has_any_prefix, safe_percent, safe_ratio
 from cellspan.plans.bounded import bounded_rows
 from cellspan.plans.prefix import ordered_blocks, prefix_sum
 from cellspan.plans.quantiles import exact_quantiles
+from cellspan.plans.storage import cut_lineage
 
 MAX_DENSE_GENES = 20_000
 
@@ -129,7 +130,8 @@ def scale_genes(values: DataFrame, cells: DataFrame, genes: DataFrame, *, max_va
 
     The gene list is the selected set (bounded); only its moments reach the driver.
     """
-    kept = values.join(genes.select("gene"), "gene", "left_semi")
+    # the chosen rows are read for the moments and again for the vectors
+    kept = cut_lineage(values.join(genes.select("gene"), "gene", "left_semi").select("cell_id", "gene", "value"))
     stats = sorted(bounded_rows(gene_moments(kept, cells), MAX_DENSE_GENES, "genes to scale"), key=lambda r: r["gene"])
     names = [r["gene"] for r in stats]
     mean = np.array([r["mean"] for r in stats])
@@ -179,7 +181,7 @@ def regression_coefficients(values: DataFrame, cells: DataFrame, covariates: Seq
 def regress_out(values: DataFrame, cells: DataFrame, genes: DataFrame, covariates: Sequence[str] = ("total_counts", "pct_counts_mt")) -> DataFrame:
     """Dense residual vector per cell over ``genes`` in name order."""
     a, b = covariates
-    kept = values.join(genes.select("gene"), "gene", "left_semi")
+    kept = cut_lineage(values.join(genes.select("gene"), "gene", "left_semi").select("cell_id", "gene", "value"))
     fits = sorted(bounded_rows(regression_coefficients(kept, cells, covariates), MAX_DENSE_GENES, "genes to regress"), key=lambda r: r["gene"])
     names = [r["gene"] for r in fits]
     mean, ba, bb = (np.array([r[c] for r in fits]) for c in ("mean", "beta_a", "beta_b"))

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cellspan.functions.columns import is_truthy
+from cellspan.sources.text import is_content, read_lines, with_line_numbers
 
 # Manifest columns (version 1 is the first nine) and the accepted count formats.
 SAMPLE_COLUMNS = (
@@ -109,11 +110,14 @@ def bed_problems(bed: DataFrame, chrom_sizes: DataFrame | None = None) -> DataFr
 def read_chrom_sizes(spark: SparkSession, path: str) -> DataFrame:
     """``chrom, size, rank`` with the rank from line order; the order of this file is semantic.
 
-    The line order comes from the scan position, so no collect is needed.
+    A chromosome listed twice is an error: check with ``expect_unique(sizes, "chrom")``.
     """
-    sizes = read_bed(spark, path, "sizes").where("chrom is not null").drop("_corrupt")
-    placed = sizes.coalesce(1).withColumn("rank", F.monotonically_increasing_id().cast("int"))
-    return placed.select("chrom", "size", "rank")
+    lines = read_lines(spark, path).where(is_content())
+    parts = F.split("line", "\t")
+    placed = with_line_numbers(lines).select(
+        F.trim(parts[0]).alias("chrom"), F.trim(parts[1]).cast("bigint").alias("size"), (F.col("line_no") - 1).cast("int").alias("rank")
+    )
+    return placed
 
 
 def export_worksheet(sheet: DataFrame, path: str) -> None:
