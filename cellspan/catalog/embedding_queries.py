@@ -11,7 +11,7 @@ from cellspan.operators import matrices as MX
 from cellspan.operators import methylation as M
 from cellspan.operators import neighbors as N
 from cellspan.operators import quality as Q
-from cellspan.catalog.interval_queries import _COUNTS, region_counts
+from cellspan.catalog.interval_queries import _COUNTS, region_counts, stored_counts
 from cellspan.catalog.methylation_queries import scores
 
 add = registry.add
@@ -132,7 +132,7 @@ kc as (select cell_id, count(*) n from counts where feature_id in (select featur
 
 @add("p9_missingness_filter", duck("select * from counts where feature_id in (select feature_id from kr) and cell_id in (select cell_id from kc)", "cells", "cg", "regions", ctes=_MISS))
 def p9(t):
-    return MX.missingness_filter(region_counts(t), t.cells, min_region_fraction=0.012, min_cell_regions=12)
+    return MX.missingness_filter(stored_counts(t), t.cells, min_region_fraction=0.012, min_cell_regions=12)
 
 
 @add("p9_region_missingness_qc", duck("""
@@ -145,7 +145,7 @@ def p9_regions(t):
 select cell_id, coalesce(n, 0) n_observed, round(coalesce(n, 0)::double/(select count(*) from kr), 6) observed_fraction, coalesce(n, 0) >= 12 pass
 from cells left join (select cell_id, count(*) n from counts where feature_id in (select feature_id from kr) group by 1) using (cell_id)""", "cells", "cg", "regions", ctes=_MISS))
 def p9_cells(t):
-    return r(MX.cell_missingness(region_counts(t), t.cells, 0.012, 12), 6, "observed_fraction")
+    return r(MX.cell_missingness(stored_counts(t), t.cells, 0.012, 12), 6, "observed_fraction")
 
 
 @add("s10_wide_matrix", duck("""
@@ -166,7 +166,7 @@ def s10_read(t):
 select threshold, (select count(*) from cells) filtered_cells, m matrix_cells, k retained_cells, 0::bigint retained_outside, m = (select count(*) from cells) ids_equal, true retained_subset from (
  select '0.01' threshold, (select count(*) from cells) m, (select count(*) from kc) k union all select '0.02', (select count(distinct cell_id) from counts), (select count(*) from kc))""", "cells", "cg", "regions", ctes=_MISS))
 def q6(t):
-    counts = region_counts(t)
+    counts = stored_counts(t)
     kept = MX.missingness_filter(counts, t.cells, min_region_fraction=0.012, min_cell_regions=12).select("cell_id").distinct()
     at = lambda df, x: df.select(F.lit(x).alias("threshold"), "cell_id")
     matrix = at(t.cells, "0.01").unionByName(at(counts.select("cell_id").distinct(), "0.02"))

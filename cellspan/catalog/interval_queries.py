@@ -6,6 +6,7 @@ from cellspan.catalog.base import duck, registry
 from cellspan.operators import features as FT
 from cellspan.operators import intervals as I
 from cellspan.operators import sites as S
+from cellspan.plans.storage import cut_lineage
 
 add = registry.add
 
@@ -19,6 +20,11 @@ def region_counts(t):
     return I.count_over_regions(S.valid_sites(S.context_filter(t.sites), "count"), t.regions)
 
 
+def stored_counts(t):
+    """Counts as a written table, for queries that read them more than once."""
+    return cut_lineage(region_counts(t))
+
+
 @add("j4_count_over_bins", duck("""
 select cell_id, chrom || '_' || cast(b*1000 as varchar) || '_' || cast(b*1000+1000 as varchar) feature_id,
  cast(sum(mc) as bigint) mc, cast(sum(cov) as bigint) cov

@@ -43,24 +43,19 @@ def s1_errors(t):
     return errors.groupBy(_sample("path").alias("sample_id"), "problem").agg(F.count("*").alias("n"))
 
 
-_NAMES = """names as (select c_name || case c_mktsegment when 'BUILDING' then '.allc.tsv.gz' when 'MACHINERY' then '_allc.gz' when 'FURNITURE' then '.allc.gz' else '.gz' end file_name, 'Customer#' || left(c_mktsegment, 1) p1, c_nationkey from customer)"""
-
-
-def _names(t):
-    ending = F.expr("case c_mktsegment when 'BUILDING' then '.allc.tsv.gz' when 'MACHINERY' then '_allc.gz' when 'FURNITURE' then '.allc.gz' else '.gz' end")
-    return t.customer.select(F.concat("c_name", ending).alias("file_name"), "c_nationkey")
+_NAME_TEXT = """case c_mktsegment when 'HOUSEHOLD' then concat('S', c_nationkey, '_') else '' end || c_name
+ || case c_mktsegment when 'BUILDING' then '.allc.tsv.gz' when 'MACHINERY' then '_allc.gz' when 'FURNITURE' then '.allc.gz' else '.gz' end"""
 
 
 @add("s2_cell_names", duck("""
-select file_name, n "name", case when n like 'Customer#0000_%' then n else 'S' || c_nationkey || '_' || n end cell_id, regexp_extract(file_name, '#(\\d+)', 1) by_group,
+select file_name, n "name", case when starts_with(n, 'S' || c_nationkey || '_') then n else 'S' || c_nationkey || '_' || n end cell_id, regexp_extract(file_name, '#(\\d+)', 1) by_group,
  regexp_extract(file_name, 'Customer#(\\d+)', 1) || '-x' by_template from (
- select *, case when file_name like '%.allc.tsv.gz' then left(file_name, len(file_name)-12) when file_name like '%\\_allc.gz' escape '\\' then left(file_name, len(file_name)-8)
-  when file_name like '%.allc.gz' then left(file_name, len(file_name)-8) else file_name end n from names)""".replace("#(\\\\d+)", "#(\\d+)"), ctes=_NAMES))
+ select *, regexp_replace(file_name, '(\\.allc\\.tsv\\.gz|_allc\\.gz|\\.allc\\.gz)$', '') n from names)""", ctes=f"names as (select {_NAME_TEXT} file_name, c_nationkey from customer)"))
 def s2(t):
     name = SF.cell_name("file_name")
-    return _names(t).select(
+    return t.customer.select(F.expr(_NAME_TEXT).alias("file_name"), "c_nationkey").select(
         "file_name", name.alias("name"), SF.prefixed_cell_id(name, F.concat(F.lit("S"), F.col("c_nationkey").cast("string"))).alias("cell_id"),
-        SF.cell_name("file_name", r"#(?P<cell_id>\d+)").alias("by_group"), SF.cell_name("file_name", r"Customer#(?P<n>\d+)", r"\g<n>-x").alias("by_template"),
+        SF.cell_name("file_name", r"#(?P<cell_id>\d+)").alias("by_group"), SF.cell_name("file_name", r"Customer#(?P<n_1>\d+)", r"\g<n_1>-x").alias("by_template"),
     )
 
 

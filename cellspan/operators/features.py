@@ -11,6 +11,7 @@ from cellspan.functions.columns import safe_ratio
 from cellspan.operators.intervals import non_overlapping
 from cellspan.plans.prefix import global_row_number
 from cellspan.plans.quantiles import exact_quantiles
+from cellspan.plans.storage import cut_lineage
 
 
 def feature_coverage(counts: DataFrame, features: DataFrame) -> DataFrame:
@@ -37,6 +38,7 @@ def rank_regions(covered: DataFrame, cells: DataFrame, n: int, *, floor_percent:
     numbering window, so that window sees exactly ``n`` rows.
     """
     keys = [F.desc("peak_var"), F.desc("n_obs_cells"), F.desc("n_cpg"), F.asc("feature_id")]
+    covered = cut_lineage(covered)  # one row per region, read for the cutoff and for the ranking
     eligible = covered.where(F.col("covered_cells") >= _coverage_cutoff(covered, cells, n, floor_percent))
     top = eligible.orderBy(*keys).limit(n)
     return top.withColumn("length", F.col("end") - F.col("start")).withColumn(
@@ -46,6 +48,7 @@ def rank_regions(covered: DataFrame, cells: DataFrame, n: int, *, floor_percent:
 
 def rank_regions_summary(covered: DataFrame, cells: DataFrame, n: int, *, floor_percent: float = 0.0) -> DataFrame:
     """Effective cutoff, its share of the cells, and how many regions pass it."""
+    covered = cut_lineage(covered)
     cut = _coverage_cutoff(covered, cells, n, floor_percent)
     marked = covered.withColumn("__cut", cut)
     return marked.agg(

@@ -134,13 +134,9 @@ def scan_variable_regions(
     merged = merge_overlapping(windows.where(F.col("variance") >= cutoff), max_of=["variance"])
     regions = merged.withColumn("feature_id", F.concat_ws("_", "chrom", "start", "end"))
     hits = join_sites_to_regions(residuals.select("cell_id", "chrom", "pos"), regions.select("chrom", "start", "end", "feature_id"))
-    # two plain counts instead of one multi-distinct aggregate (which would copy every site row)
-    sites = hits.select("feature_id", "pos").distinct().groupBy("feature_id").agg(F.count("*").alias("n_cpg"))
-    cells = hits.select("feature_id", "cell_id").distinct().groupBy("feature_id").agg(F.count("*").alias("n_obs_cells"))
-    return (
-        regions.join(sites, "feature_id").join(cells, "feature_id")
-        .select("chrom", "start", "end", F.col("variance").alias("peak_var"), "n_cpg", "n_obs_cells")
-    )
+    # distinct counts copy rows, but only those inside the few merged regions
+    seen = hits.groupBy("feature_id").agg(F.count_distinct("pos").alias("n_cpg"), F.count_distinct("cell_id").alias("n_obs_cells"))
+    return regions.join(seen, "feature_id").select("chrom", "start", "end", F.col("variance").alias("peak_var"), "n_cpg", "n_obs_cells")
 
 
 def label_windows(residuals: DataFrame, cells: DataFrame, *, bandwidth: int = 2000, step: int = 1000) -> DataFrame:

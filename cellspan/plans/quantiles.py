@@ -28,18 +28,21 @@ def exact_quantiles(
     blocks = ordered_blocks(counted, order)
     ranked = prefix_sum(blocks, [F.col("__v")], "__n", "__before", keys)
     totals = blocks.groupBy(*keys).agg(F.sum("__n").alias("__total"))
-    wanted = (
-        totals.withColumn("p", F.explode(F.array(*[F.lit(float(p)) for p in probabilities])))
-        .withColumn("__rank", F.col("p") * (F.col("__total") - 1))
-        .withColumn("__lo", F.floor("__rank"))
-        .withColumn("__hi", F.ceil("__rank"))
-        .withColumn("__k", F.explode(F.array_distinct(F.array("__lo", "__hi"))))
-    )
-    inside = (F.col("__k") >= F.col("__before")) & (F.col("__k") < F.col("__before") + F.col("__n"))
     if keys:
-        hits = ranked.join(wanted, keys).where(inside)
+        ranked = ranked.join(totals, keys)
     else:
-        hits = ranked.withColumn("__all", F.lit(1)).join(wanted.withColumn("__all", F.lit(1)), "__all").where(inside)
+        ranked = ranked.withColumn("__total", totals.scalar())
+    # the order statistics each probability needs, kept only in the row that holds them
+    needs = []
+    for p in probabilities:
+        rank = F.lit(float(p)) * (F.col("__total") - 1)
+        for k in (F.floor(rank), F.ceil(rank)):
+            needs.append(F.struct(F.lit(float(p)).alias("p"), rank.alias("rank"), k.alias("k")))
+    held = F.filter(F.array(*needs), lambda x: (x["k"] >= F.col("__before")) & (x["k"] < F.col("__before") + F.col("__n")))
+    hits = ranked.withColumn("__x", F.explode(held)).select(
+        *keys, "__v", F.col("__x.p").alias("p"), F.col("__x.k").alias("__k"),
+        F.floor("__x.rank").alias("__lo"), F.ceil("__x.rank").alias("__hi"), F.col("__x.rank").alias("__rank"),
+    )
     share = F.col("__rank") - F.col("__lo")
     return (
         hits.groupBy(*keys, "p")
