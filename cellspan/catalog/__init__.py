@@ -4,7 +4,7 @@ from importlib import import_module
 
 _MODULES = (
     "site_queries", "interval_queries", "cell_queries", "region_queries", "methylation_queries",
-    "expression_queries", "embedding_queries", "source_queries",
+    "expression_queries", "embedding_queries", "source_queries", "route_queries",
 )
 
 
