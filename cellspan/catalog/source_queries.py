@@ -102,12 +102,11 @@ def s6(t):
     spark, path = t.spark, scratch_path(t.spark, "mtx")
     genes = global_row_number(t.rna.select("gene").distinct(), [F.col("gene")], "g")
     cells = global_row_number(t.rna.select("cell_id").distinct(), [F.col("cell_id")], "c")
-    genes.repartitionByRange(1, "g").sortWithinPartitions("g").select(F.concat_ws("\t", F.concat(F.lit("id"), "g"), "gene", F.lit("Gene Expression")).alias("value")).write.text(f"{path}/features.tsv")
-    cells.repartitionByRange(1, "c").sortWithinPartitions("c").select(F.col("cell_id").alias("value")).write.text(f"{path}/barcodes.tsv")
-    body = t.rna.join(genes, "gene").join(cells, "cell_id").select(F.lit(2).alias("o"), F.concat_ws(" ", "g", "c", "count").alias("value"))
-    head = spark.range(2).select(F.col("id").cast("int").alias("o"), F.expr("case id when 0 then '%%MatrixMarket matrix coordinate integer general' else '0 0 0' end").alias("value"))
-    # the writer needs one ordered file here because the format is one file
-    head.unionByName(body).repartitionByRange(1, "o").sortWithinPartitions("o").select("value").write.text(f"{path}/matrix.mtx")
+    genes.orderBy("g").select(F.concat_ws("\t", F.concat(F.lit("id"), "g"), "gene", F.lit("Gene Expression")).alias("value")).write.text(f"{path}/features.tsv")
+    cells.orderBy("c").select(F.col("cell_id").alias("value")).write.text(f"{path}/barcodes.tsv")
+    t.rna.join(genes, "gene").join(cells, "cell_id").select(F.concat_ws(" ", "g", "c", "count").alias("value")).write.text(f"{path}/matrix.mtx")
+    head = spark.createDataFrame([("%%MatrixMarket matrix coordinate integer general\n0 0 0",)], "value string")
+    head.coalesce(1).write.mode("append").text(f"{path}/matrix.mtx")
     return MF.read_10x_mtx(spark, path, "L")
 
 

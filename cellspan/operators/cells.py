@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from cellspan.functions.columns import (
     STRICT_PLACEHOLDERS, is_placeholder, is_truthy, safe_ratio, sanitize_label,
 )
+from cellspan.plans.sizes import broadcast_if_small
 
 
 def split_cell_id(cells: DataFrame, column: str = "cell_id") -> DataFrame:
@@ -86,7 +87,7 @@ def exclusion_counts(selection: DataFrame) -> DataFrame:
 
 def restrict_to_cells(df: DataFrame, ids: DataFrame) -> DataFrame:
     """Rows whose cell is listed in ``ids``."""
-    return df.join(ids.select("cell_id").distinct(), "cell_id", "left_semi")
+    return df.join(broadcast_if_small(ids.select("cell_id").distinct()), "cell_id", "left_semi")
 
 
 def restriction_problems(df: DataFrame, ids: DataFrame) -> DataFrame:

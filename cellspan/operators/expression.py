@@ -17,6 +17,7 @@ from cellspan.functions.columns import has_any_prefix, safe_percent, safe_ratio
 from cellspan.plans.bounded import bounded_rows
 from cellspan.plans.prefix import ordered_blocks, prefix_sum
 from cellspan.plans.quantiles import exact_quantiles
+from cellspan.plans.sizes import broadcast_if_small
 from cellspan.plans.storage import cut_lineage
 
 MAX_DENSE_GENES = 20_000
@@ -47,6 +48,7 @@ def cell_qc(metrics: DataFrame, **limits) -> DataFrame:
 def gene_min_cells(counts: DataFrame, min_cells: int = 3) -> DataFrame:
     """Counts of genes seen in at least ``min_cells`` cells of the same sample."""
     seen = counts.where(F.col("count") > 0).groupBy("sample_id", "gene").agg(F.count("*").alias("__n")).where(F.col("__n") >= min_cells)
+    seen = broadcast_if_small(seen.select("sample_id", "gene"), materialize=True)
     return counts.join(seen, ["sample_id", "gene"], "left_semi")
 
 
@@ -131,7 +133,7 @@ def scale_genes(values: DataFrame, cells: DataFrame, genes: DataFrame, *, max_va
     The gene list is the selected set (bounded); only its moments reach the driver.
     """
     # the chosen rows are read for the moments and again for the vectors
-    kept = cut_lineage(values.join(genes.select("gene"), "gene", "left_semi").select("cell_id", "gene", "value"))
+    kept = cut_lineage(values.join(broadcast_if_small(genes.select("gene"), materialize=True), "gene", "left_semi").select("cell_id", "gene", "value"))
     stats = sorted(bounded_rows(gene_moments(kept, cells), MAX_DENSE_GENES, "genes to scale"), key=lambda r: r["gene"])
     names = [r["gene"] for r in stats]
     mean = np.array([r["mean"] for r in stats])
@@ -166,7 +168,7 @@ def regression_coefficients(values: DataFrame, cells: DataFrame, covariates: Seq
     n, ma, mb = m["n"], m["ma"], m["mb"]
     saa, sbb, sab = m["aa"] - n * ma * ma, m["bb"] - n * mb * mb, m["ab"] - n * ma * mb
     det = saa * sbb - sab * sab
-    sums = values.join(x, "cell_id").groupBy("gene").agg(
+    sums = values.join(broadcast_if_small(x), "cell_id").groupBy("gene").agg(
         F.sum("value").alias("__y"), F.sum(F.col("value") * (F.col("__a") - ma)).alias("__ya"), F.sum(F.col("value") * (F.col("__b") - mb)).alias("__yb")
     )
     if det > 1e-9 * max(saa * sbb, 1e-300):
@@ -181,7 +183,7 @@ def regression_coefficients(values: DataFrame, cells: DataFrame, covariates: Seq
 def regress_out(values: DataFrame, cells: DataFrame, genes: DataFrame, covariates: Sequence[str] = ("total_counts", "pct_counts_mt")) -> DataFrame:
     """Dense residual vector per cell over ``genes`` in name order."""
     a, b = covariates
-    kept = cut_lineage(values.join(genes.select("gene"), "gene", "left_semi").select("cell_id", "gene", "value"))
+    kept = cut_lineage(values.join(broadcast_if_small(genes.select("gene"), materialize=True), "gene", "left_semi").select("cell_id", "gene", "value"))
     fits = sorted(bounded_rows(regression_coefficients(kept, cells, covariates), MAX_DENSE_GENES, "genes to regress"), key=lambda r: r["gene"])
     names = [r["gene"] for r in fits]
     mean, ba, bb = (np.array([r[c] for r in fits]) for c in ("mean", "beta_a", "beta_b"))
@@ -220,9 +222,9 @@ def group_gene_means(values: DataFrame, groups: DataFrame, genes: DataFrame, gro
     ``groups`` maps ``cell_id`` to ``group``. Genes without any value are dropped; a gene silent in
     one group still gets its zero row there.
     """
-    kept = values.join(genes.select("gene").distinct(), "gene", "left_semi")
+    kept = values.join(broadcast_if_small(genes.select("gene").distinct()), "gene", "left_semi")
     sizes = groups.groupBy(group).agg(F.count("*").alias("__size"))
-    sums = kept.join(groups.select("cell_id", group), "cell_id").groupBy(group, "gene").agg(
+    sums = kept.join(broadcast_if_small(groups.select("cell_id", group)), "cell_id").groupBy(group, "gene").agg(
         F.sum("value").alias("__s"), F.count_if(F.col("value") > 0).alias("__k")
     )
     all_groups = sizes.agg(F.collect_list(F.struct(group, "__size"))).scalar()
@@ -248,7 +250,7 @@ def rank_genes_wilcoxon(values: DataFrame, groups: DataFrame, group: str = "clus
     """
     sizes = groups.groupBy(group).agg(F.count("*").cast("double").alias("__size"))
     total = groups.agg(F.count("*").cast("double")).scalar()
-    seen = values.where(F.col("value") > 0).join(groups.select("cell_id", group), "cell_id").groupBy("gene", "value", group).agg(F.count("*").alias("__c"))
+    seen = values.where(F.col("value") > 0).join(broadcast_if_small(groups.select("cell_id", group)), "cell_id").groupBy("gene", "value", group).agg(F.count("*").alias("__c"))
     by_value = seen.groupBy("gene", "value").agg(F.sum("__c").alias("__n"), F.collect_list(F.struct(group, "__c")).alias("__who"))
     blocks = ordered_blocks(by_value, [F.col("gene"), F.col("value")])
     ranked = prefix_sum(blocks, [F.col("value")], "__n", "__before", ["gene"])

@@ -1,9 +1,8 @@
 """Genomic interval operators: interval joins, exclusion, merging, ordering, numbering.
 
 Intervals are 0-based half-open ``[start, end)``. Every join keys on ``(chrom, bin)`` so the planner
-sees an equi-join with a residual range test. No broadcast is forced: the planner (and AQE at
-run time) broadcasts the interval side only below ``spark.sql.autoBroadcastJoinThreshold`` and
-otherwise uses a sort-merge join, whose hot bins AQE splits.
+sees an equi-join with a residual range test. The interval side is counted and broadcast only below
+a limit, which spares the sites a shuffle; beyond it the join is sort-merge and AQE splits hot bins.
 """
 
 from __future__ import annotations
@@ -15,6 +14,7 @@ from pyspark.sql import functions as F
 
 from cellspan.functions.columns import bin_index, overlap_length
 from cellspan.plans.prefix import global_row_number, tile_running_max
+from cellspan.plans.sizes import broadcast_if_small
 from cellspan.plans.storage import cut_lineage
 
 BIN = 10_000
@@ -35,6 +35,11 @@ def explode_bins(intervals: DataFrame, bin_size: int = BIN) -> DataFrame:
     )
 
 
+def index_regions(regions: DataFrame, bin_size: int = BIN) -> DataFrame:
+    """Regions by bin, ready for any number of site joins: derived once, broadcast if small."""
+    return broadcast_if_small(explode_bins(regions, bin_size), materialize=True)
+
+
 def join_sites_to_regions(
     sites: DataFrame,
     regions: DataFrame,
@@ -43,12 +48,16 @@ def join_sites_to_regions(
     position_base: int = 1,
     bin_size: int = BIN,
 ) -> DataFrame:
-    """Every (site, region) with ``start <= position < end``; a site has one bin, so no duplicates."""
+    """Every (site, region) with ``start <= position < end``; a site has one bin, so no duplicates.
+
+    ``regions`` may be the output of :func:`index_regions` with the same ``bin_size``.
+    """
+    index = regions if "__bin" in regions.columns else index_regions(regions, bin_size)
     keyed = sites.withColumn("__p", zero_based(position, position_base)).withColumn(
         "__bin", bin_index("__p", bin_size)
     )
     hit = (F.col("start") <= F.col("__p")) & (F.col("__p") < F.col("end"))
-    return keyed.join(explode_bins(regions, bin_size), ["chrom", "__bin"]).where(hit).drop("__bin", "__p")
+    return keyed.join(index, ["chrom", "__bin"]).where(hit).drop("__bin", "__p")
 
 
 def count_over_regions(
@@ -57,7 +66,7 @@ def count_over_regions(
     """Methylated and total reads per (cell, region); only covered pairs are kept."""
     hits = join_sites_to_regions(
         sites.select("cell_id", "chrom", "pos", "mc", "cov"),
-        regions.select("chrom", "start", "end", "feature_id"),
+        regions.select("chrom", "start", "end", "feature_id", *[c for c in ("__bin",) if c in regions.columns]),
         position_base=position_base,
         bin_size=bin_size,
     )
@@ -79,7 +88,7 @@ def count_over_bins(
     keyed = keyed.withColumn("__bin", bin_index("__p", bin_size))
     kept = bins.select("chrom", "start", "end", "feature_id", bin_index("start", bin_size).alias("__bin"))
     return (
-        keyed.join(kept, ["chrom", "__bin"])
+        keyed.join(broadcast_if_small(kept), ["chrom", "__bin"])
         .where((F.col("start") <= F.col("__p")) & (F.col("__p") < F.col("end")))
         .groupBy("cell_id", "feature_id")
         .agg(F.sum("mc").alias("mc"), F.sum("cov").alias("cov"))
@@ -99,7 +108,7 @@ def tile_genome(chrom_order: DataFrame, bin_size: int) -> DataFrame:
 def _overlapping_keys(a: DataFrame, b: DataFrame, test: Column, bin_size: int) -> DataFrame:
     """Distinct ``(chrom, start, end)`` of ``a`` for which some row of ``b`` passes ``test``."""
     left = explode_bins(a.select("chrom", "start", "end").distinct(), bin_size)
-    right = explode_bins(b.select("chrom", "start", "end").distinct(), bin_size).select(
+    right = index_regions(b.select("chrom", "start", "end").distinct(), bin_size).select(
         F.col("chrom").alias("__chrom"), F.col("__bin").alias("__obin"),
         F.col("start").alias("__s"), F.col("end").alias("__e"),
     )

@@ -16,6 +16,7 @@ from cellspan.functions.stats import binomial_upper_tail, student_two_sided, wel
 from cellspan.operators.intervals import join_sites_to_regions, merge_overlapping
 from cellspan.plans.prefix import global_row_number, ordered_blocks, prefix_sum
 from cellspan.plans.quantiles import exact_quantiles
+from cellspan.plans.sizes import broadcast_if_small
 from cellspan.plans.storage import cut_lineage
 
 TILE = 65_536
@@ -141,7 +142,7 @@ def scan_variable_regions(
 
 def label_windows(residuals: DataFrame, cells: DataFrame, *, bandwidth: int = 2000, step: int = 1000) -> DataFrame:
     """Per (sample, label, window): cells, sums and squares of cell values, and call totals."""
-    tagged = residuals.join(cells.select("cell_id", "sample_id", "cell_type"), "cell_id")
+    tagged = residuals.join(broadcast_if_small(cells.select("cell_id", "sample_id", "cell_type")), "cell_id")
     per_cell = _cell_windows(tagged, bandwidth, step, ("sample_id", "cell_type"))
     return per_cell.groupBy("sample_id", "cell_type", "chrom", "window").agg(
         F.count("*").alias("cells"), F.sum("value").alias("s"), F.sum(F.col("value") * F.col("value")).alias("q"),
@@ -257,7 +258,7 @@ def hypo_score(counts: DataFrame, *, keep: float = 0.9, exact_limit: int = 200)
     """
     rate = counts.groupBy("cell_id").agg(safe_ratio(F.sum("mc"), F.sum("cov")).alias("__rate"))
     score = binomial_upper_tail(F.col("mc"), F.col("cov"), F.col("__rate"), exact_limit)
-    return counts.join(rate, "cell_id").withColumn("score", score).where(F.col("score") >= keep).drop("__rate")
+    return counts.join(broadcast_if_small(rate, materialize=True), "cell_id").withColumn("score", score).where(F.col("score") >= keep).drop("__rate")
 
 
 def hypo_prevalence(scores: DataFrame, cutoff: float = 0.95) -> DataFrame:

@@ -23,7 +23,7 @@ def expect_unique(df: DataFrame, *columns: str) -> DataFrame:
 
 def expect_subset(inner: DataFrame, outer: DataFrame, key: str) -> DataFrame:
     """Ids of ``inner`` that ``outer`` lacks."""
-    return inner.select(key).distinct().join(outer.select(key), key, "left_anti")
+    return inner.select(key).distinct().join(outer.select(key).distinct(), key, "left_anti")
 
 
 def expect_nonempty(df: DataFrame, columns: Sequence[str]) -> DataFrame:

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from cellspan.functions.columns import clip
 from cellspan.operators.intervals import join_sites_to_regions, with_chrom_rank
 from cellspan.plans.prefix import global_row_number, tile_running_max
+from cellspan.plans.sizes import broadcast_if_small
 
 
 def dmr_threshold(dmr: DataFrame, *, max_raw_p: float = 0.01, min_abs_diff: float = 0.25) -> DataFrame:
@@ -108,7 +109,7 @@ def region_zscore(matrix: DataFrame, *, min_observed: int = 30, clip_at: float |
     )
     ok = (F.col("observed_cells") >= min_observed) & (F.col("__sd") > 0)
     z = F.when(ok, (F.col("value") - F.col("__m")) / F.col("__sd"))
-    out = matrix.join(stats, "feature_id").withColumn("z", z if clip_at is None else clip(z, clip_at))
+    out = matrix.join(broadcast_if_small(stats, materialize=True), "feature_id").withColumn("z", z if clip_at is None else clip(z, clip_at))
     return out.drop("__m", "__sd")
 
 
@@ -127,7 +128,7 @@ def own_label_for_region(matrix: DataFrame, cells: DataFrame, regions: DataFrame
     """
     support = regions.select("feature_id", F.explode("labels").alias("cell_type"))
     means = (
-        matrix.join(cells.select("cell_id", "cell_type"), "cell_id").groupBy("feature_id", "cell_type")
+        matrix.join(broadcast_if_small(cells.select("cell_id", "cell_type")), "cell_id").groupBy("feature_id", "cell_type")
         .agg(F.avg("value").alias("label_mean"))
     )
     scored = support.join(means, ["feature_id", "cell_type"], "left")

@@ -76,4 +76,4 @@ def cell_site_qc(sites: DataFrame) -> DataFrame:
 
 def cells_without_sites(cells: DataFrame, sites: DataFrame) -> DataFrame:
     """Cells of ``cells`` with no covered site: an error for the conversion stage."""
-    return cells.join(sites, "cell_id", "left_anti")
+    return cells.join(sites.select("cell_id").distinct(), "cell_id", "left_anti")

@@ -4,8 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import SparkSession
 
-# Adaptive execution picks broadcast joins from measured sizes, splits skewed partitions and merges
-# small ones. No operator forces a broadcast.
+# Adaptive execution splits skewed partitions, merges small ones and re-plans joins from measured sizes.
 SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",

@@ -12,17 +12,21 @@ def read_10x_mtx(spark: SparkSession, folder: str, label: str, suffix: str = "")
     """``cell_id, sample_id, gene, count`` of ``matrix.mtx``, ``barcodes.tsv``, ``features.tsv``.
 
     Indices are 1-based line numbers. Repeated gene symbols get ``-1``, ``-2``, ... from the second
-    on; the cell id is ``label_barcode``. ``suffix`` is ``.gz`` for compressed files.
+    on; the cell id is ``label_barcode``. ``suffix`` is ``.gz`` for compressed files. Each name may also be
+    a folder of parts, read as one file in name order; only a part with the format banner has a size line.
     """
     tab = F.split("line", "\t")
-    barcodes = with_line_numbers(read_lines(spark, f"{folder}/barcodes.tsv{suffix}"), "cell_no").select("cell_no", tab[0].alias("barcode"))
-    features = with_line_numbers(read_lines(spark, f"{folder}/features.tsv{suffix}"), "gene_no").select("gene_no", F.coalesce(F.get(tab, F.lit(1)), tab[0]).alias("symbol"))
+    barcodes = with_line_numbers(read_lines(spark, f"{folder}/barcodes.tsv{suffix}"), "cell_no", across_files=True).select("cell_no", tab[0].alias("barcode"))
+    features = with_line_numbers(read_lines(spark, f"{folder}/features.tsv{suffix}"), "gene_no", across_files=True).select("gene_no", F.coalesce(F.get(tab, F.lit(1)), tab[0]).alias("symbol"))
     repeat = F.row_number().over(Window.partitionBy("symbol").orderBy("gene_no")) - 1
     genes = features.withColumn("__r", repeat).select("gene_no", F.when(F.col("__r") == 0, F.col("symbol")).otherwise(F.concat_ws("-", "symbol", "__r")).alias("gene"))
-    body = read_lines(spark, f"{folder}/matrix.mtx{suffix}").where(~F.col("line").startswith("%") & (F.length(F.trim("line")) > 0))
+    lines = read_lines(spark, f"{folder}/matrix.mtx{suffix}")
+    body = lines.where(~F.col("line").startswith("%") & (F.length(F.trim("line")) > 0))
+    banner = lines.where(F.col("line").startswith("%%MatrixMarket")).select("path").distinct()
     word = F.split(F.trim("line"), r"\s+")
     # the first line after the comments holds the sizes
-    entries = body.join(first_lines(body), "path").where(F.struct("__block", "__seq") != F.col("__first"))
+    sizes = first_lines(body.join(banner, "path", "left_semi"))
+    entries = body.join(sizes, "path", "left").where(F.col("__first").isNull() | (F.struct("__block", "__seq") != F.col("__first")))
     entries = entries.select(word[0].cast("bigint").alias("gene_no"), word[1].cast("bigint").alias("cell_no"), word[2].cast("bigint").alias("count"))
     return entries.join(genes, "gene_no").join(barcodes, "cell_no").select(
         F.concat_ws("_", F.lit(label), "barcode").alias("cell_id"), F.lit(label).alias("sample_id"), "gene", "count"

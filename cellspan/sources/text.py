@@ -23,9 +23,12 @@ def read_lines(spark: SparkSession, paths, glob: str | None = None) -> DataFrame
     )
 
 
-def with_line_numbers(lines: DataFrame, out: str = "line_no") -> DataFrame:
-    """Contiguous 1-based number of each remaining line within its file."""
-    return global_row_number(lines, [F.col("__block"), F.col("__seq")], out, ["path"])
+def with_line_numbers(lines: DataFrame, out: str = "line_no", *, across_files: bool = False) -> DataFrame:
+    """Contiguous 1-based number of each remaining line within its file, or through all files by name."""
+    order = [F.col("__block"), F.col("__seq")]
+    if across_files:
+        return global_row_number(lines, [F.col("path"), *order], out)
+    return global_row_number(lines, order, out, ["path"])
 
 
 def first_lines(lines: DataFrame) -> DataFrame:

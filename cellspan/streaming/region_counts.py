@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
-from cellspan.operators.intervals import count_over_regions
+from cellspan.operators.intervals import count_over_regions, index_regions
 from cellspan.operators.matrices import dataset_fingerprint
 from cellspan.operators.sites import context_filter, valid_sites
 from cellspan.sources.site_files import cell_name, parse_allc, prefixed_cell_id
@@ -48,6 +48,7 @@ def stream_region_counts(sites: DataFrame, regions: DataFrame, output: str, *, c
     """
     spark = sites.sparkSession
     _check_definition(spark, regions, context, f"{output}/definition")
+    index = index_regions(regions.select("chrom", "start", "end", "feature_id"))
     wanted = valid_sites(context_filter(sites, context, "dinucleotide"), "count").select("cell_id", "chrom", "pos", "mc", "cov")
 
     def write(batch: DataFrame, batch_id: int) -> None:
@@ -58,7 +59,7 @@ def stream_region_counts(sites: DataFrame, regions: DataFrame, output: str, *, c
             fresh = batch.join(done.where(F.col("batch_id") < batch_id), "cell_id", "left_anti")
         fresh = fresh.persist()
         try:
-            count_over_regions(fresh, regions).write.mode("overwrite").parquet(f"{output}/counts/batch_id={batch_id}")
+            count_over_regions(fresh, index).write.mode("overwrite").parquet(f"{output}/counts/batch_id={batch_id}")
             # the cell list is written last: it marks the batch as finished
             fresh.select("cell_id").distinct().write.mode("overwrite").parquet(f"{output}/cells/batch_id={batch_id}")
         finally:

@@ -9,6 +9,7 @@ from cellspan.operators import cells as K
 from cellspan.operators import intervals as I
 from cellspan.operators import regions as R
 from cellspan.operators import sites as S
+from cellspan.plans import sizes
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -26,10 +27,12 @@ def stored(spark, tmp_path_factory):
     return spark.read.parquet(f"{base}/sites"), spark.read.parquet(f"{base}/regions"), t
 
 
-@pytest.mark.parametrize("threshold", ["10485760", "-1"])
-def test_interval_joins_are_equi_joins_at_any_size(spark, stored, threshold):
+@pytest.mark.parametrize("limit,join", [(2_000_000, "BroadcastHashJoin"), (0, "SortMergeJoin")])
+def test_interval_joins_are_equi_joins_at_any_size(spark, stored, monkeypatch, limit, join):
+    # below the counted limit the sites are not shuffled; beyond it the join is sort-merge
+    monkeypatch.setattr(sizes, "BROADCAST_ROWS", limit)
     sites, regions, t = stored
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
         frames = [
             I.count_over_regions(sites, regions), I.count_over_bins(sites, I.tile_genome(t.chrom_order, 1000), 1000),
@@ -38,12 +41,22 @@ def test_interval_joins_are_equi_joins_at_any_size(spark, stored, threshold):
         for df in frames:
             text = plan(df)
             assert "NestedLoop" not in text and "Cartesian" not in text
-            if threshold == "-1":
-                assert "SortMergeJoin" in text
+            assert join in text
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "10485760")
 
 
+def rows_of(df):
+    return sorted(map(tuple, df.collect()))
+
+
+def test_both_join_ways_agree(stored, monkeypatch):
+    sites, regions, _ = stored
+    small = rows_of(I.count_over_regions(sites, regions))
+    monkeypatch.setattr(sizes, "BROADCAST_ROWS", 0)
+    assert rows_of(I.count_over_regions(sites, regions)) == small
+
+
 def test_context_filter_and_columns_reach_the_scan(spark, stored):
     sites, regions, _ = stored
     text = I.count_over_regions(sites.where("context like 'CG%'"), regions)._jdf.queryExecution().executedPlan().toString()
