@@ -23,7 +23,10 @@ def _write_allc(t):
     text = F.concat_ws("\t", "chrom", "pos", F.lit("+"), "context", "mc", "cov", F.lit(1))
     broken = F.when(F.col("cov") == 13, F.concat_ws("\t", "chrom", "pos", F.lit("+"), "context", "mc", F.lit("x"), F.lit(1)))
     broken = F.when(F.col("cov") == 17, F.concat_ws("\t", "chrom", "pos")).otherwise(broken)
-    t.sites.select("sample_id", F.coalesce(broken, text).alias("value")).write.partitionBy("sample_id").option("compression", "gzip").text(path)
+    # a broken number in the first line of a file would pass as a header: keep those lines later
+    lines = t.sites.select("sample_id", F.coalesce(broken, text).alias("value"), (F.col("cov") == 13).alias("late"))
+    placed = lines.repartition("sample_id", F.substring("value", 1, 4)).sortWithinPartitions("sample_id", "late")
+    placed.select("sample_id", "value").write.partitionBy("sample_id").option("compression", "gzip").text(path)
     return path
 
 
@@ -37,7 +40,8 @@ def s1(t):
     return sites.select(_sample("path").alias("sample_id"), "chrom", "pos", "strand", "context", "mc", "cov")
 
 
-@add("s1_allc_errors")
+@add("s1_allc_errors", duck("""
+select sample_id, case cov when 13 then 'non-integer field' else 'fewer than 6 columns' end problem, count(*) n from sites where cov in (13, 17) group by 1,2""", "sites"))
 def s1_errors(t):
     errors = SF.allc_errors(read_lines(t.spark, _write_allc(t), "*.gz"))
     return errors.groupBy(_sample("path").alias("sample_id"), "problem").agg(F.count("*").alias("n"))
@@ -126,13 +130,13 @@ def s9_problems(t):
     return TB.bed_problems(bed, t.chrom_order.withColumn("size", F.lit(10000)))
 
 
-@add("s11_source_inventory")
+@add("s11_source_inventory", duck("select distinct sample_id cell_id, true has_size, sample_id = 'S0' changed from sites", "sites"))
 def s11(t):
-    path = _write_allc(t)
-    files = SF.list_files(t.spark, path, "**/*.gz").withColumn("cell_id", _sample("path"))
-    stored = V.source_inventory(files)
-    return stored.agg(F.count("*").alias("files"), F.min("size").alias("smallest")).withColumn(
-        "changes", V.inventory_changes(stored.where("cell_id <> 'S0'"), stored).agg(F.count("*")).scalar())
+    files = SF.list_files(t.spark, _write_allc(t), "**/*.gz").withColumn("cell_id", _sample("path"))
+    now = V.source_inventory(files)
+    changed = V.inventory_changes(now.where("cell_id <> 'S0'"), now).select("cell_id").distinct().withColumn("c", F.lit(True))
+    seen = now.groupBy("cell_id").agg(F.bool_and(F.col("size") > 0).alias("has_size"))
+    return seen.join(changed, "cell_id", "left").select("cell_id", "has_size", F.coalesce("c", F.lit(False)).alias("changed"))
 
 
 @add("s12_file_checksums")

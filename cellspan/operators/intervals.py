@@ -181,7 +181,7 @@ def merge_overlapping(
 def overlapping_pairs_check(intervals: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
     """Intervals that overlap an earlier one (by start); empty exactly when the set is disjoint."""
     group = [*keys, "chrom"]
-    starts = intervals.groupBy(*group, "start").agg(F.max("end").alias("end"), F.count("*").alias("n_same_start"))
+    starts = cut_lineage(intervals.groupBy(*group, "start").agg(F.max("end").alias("end"), F.count("*").alias("n_same_start")))
     prior = tile_running_max(starts, group, "start", "end", "prior_end", inclusive=False)
     return prior.where((F.col("n_same_start") > 1) | (F.col("start") < F.col("prior_end"))).select(
         *group, "start", "end", "n_same_start", "prior_end"

@@ -87,18 +87,23 @@ def _cell_windows(residuals: DataFrame, bandwidth: int, step: int, extra: tuple[
     """Per (cell, sliding window): calls, methylated calls and shrunken residual.
 
     Sites are summed into panes of one step; each pane then feeds the ``bandwidth / step`` windows
-    that cover it. Only pane sums are repeated, never sites.
+    that cover it. Rows are placed once by (cell, chromosome, tile of panes), with the few panes
+    before a tile edge placed in both tiles; pane and window sums are then local, so the repeated
+    pane rows are never shuffled.
     """
     if bandwidth % step:
         raise ValueError("bandwidth must be a multiple of step")
     span = bandwidth // step
-    panes = residuals.groupBy("cell_id", *extra, "chrom", int_div(F.col("pos") - 1, step).alias("__pane")).agg(
+    tile = max(256, 8 * span)
+    rows = residuals.select("cell_id", *extra, "chrom", "call", "residual", int_div(F.col("pos") - 1, step).alias("pane"))
+    first = F.greatest(F.col("pane") - (span - 1), F.lit(0).cast("long"))
+    placed = rows.withColumn("tile", F.explode(F.sequence(int_div(first, tile), int_div("pane", tile)))).repartition("cell_id", "chrom", "tile")
+    panes = placed.groupBy("cell_id", *extra, "chrom", "tile", "pane").agg(
         F.count("*").alias("n"), F.sum("call").alias("meth"), F.sum("residual").alias("r")
     )
-    windows = F.sequence(F.greatest(F.col("__pane") - (span - 1), F.lit(0).cast("long")), F.col("__pane"))
+    windows = panes.withColumn("window", F.explode(F.sequence(first, F.col("pane")))).where(int_div("window", tile) == F.col("tile"))
     return (
-        panes.withColumn("window", F.explode(windows))
-        .groupBy("cell_id", *extra, "chrom", "window")
+        windows.groupBy("cell_id", *extra, "chrom", "tile", "window")
         .agg(F.sum("n").alias("n"), F.sum("meth").alias("meth"), F.sum("r").alias("r"))
         .withColumn("value", F.col("r") / (F.col("n") + 1))
     )

@@ -9,6 +9,7 @@ from cellspan.functions.columns import clip
 from cellspan.operators.intervals import join_sites_to_regions, with_chrom_rank
 from cellspan.plans.prefix import global_row_number, tile_running_max
 from cellspan.plans.sizes import broadcast_if_small
+from cellspan.plans.storage import cut_lineage
 
 
 def dmr_threshold(dmr: DataFrame, *, max_raw_p: float = 0.01, min_abs_diff: float = 0.25) -> DataFrame:
@@ -161,10 +162,8 @@ def contiguous_groups(ordered: DataFrame, label: str, position: str = "position"
     before = rows.select((F.col("__pos") + 1).alias("__pos"), F.col("label").alias("__before"), F.lit(True).alias("__has"))
     linked = rows.join(before, "__pos", "left")
     opens = F.col("__has").isNull() | ~F.col("label").eqNullSafe(F.col("__before"))
-    runs = tile_running_max(
-        linked.withColumn("__open", F.when(opens, F.col("__pos"))).select("__pos", "label", "__open"),
-        [], "__pos", "__open", "run_start", inclusive=True,
-    )
+    marked = cut_lineage(linked.withColumn("__open", F.when(opens, F.col("__pos"))).select("__pos", "label", "__open"))
+    runs = tile_running_max(marked, [], "__pos", "__open", "run_start", inclusive=True)
     return runs.groupBy("run_start").agg(F.first("label").alias("label"), F.max("__pos").alias("run_end")).withColumn(
         "center", (F.col("run_start") + F.col("run_end")) / 2
     )

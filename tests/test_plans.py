@@ -7,6 +7,7 @@ import pytest
 from cellspan.catalog.base import Tables
 from cellspan.operators import cells as K
 from cellspan.operators import intervals as I
+from cellspan.operators import methylation as M
 from cellspan.operators import regions as R
 from cellspan.operators import sites as S
 from cellspan.plans import sizes
@@ -77,6 +78,15 @@ def test_rank_limits_run_before_the_shuffle(stored):
     assert "WindowGroupLimit" in plan(K.balanced_sample(t.cells, 5))
 
 
+def test_sliding_windows_shuffle_sites_once_and_never_their_repeats(spark):
+    rows = spark.createDataFrame([("a", "c", p, 1, 0.5) for p in (1, 25_601, 25_701)], "cell_id string, chrom string, pos long, call long, residual double")
+    df = M._cell_windows(rows, 2000, 100)
+    assert plan(df).count("Exchange hashpartitioning") == 1
+    # a window across the tile edge sees the sites of both tiles, and no window is listed twice
+    got = {r["window"]: r["n"] for r in df.collect()}
+    assert len(got) == df.count() and got[250] == 2 and got[256] == 2 and got[257] == 1 and got[0] == 1
+
+
 def test_region_mean_uses_one_shuffle_for_both_steps(stored):
     sites, regions, _ = stored
     text = plan(R.region_mean_of_site_ratios(sites, regions))
