@@ -209,7 +209,7 @@ def a22_plain(t):
 
 @add("m20_expected_doublet_rate", duck("select sample_id, count(*) cells, 0.004*count(*)/1000 expected_doublet_rate from (select distinct sample_id, cell_id from rna) group by 1".replace("0.004*count(*)/1000", "round(0.004::double*count(*)/1000, 9)"), "rna"))
 def m20_rate(t):
-    return r(X.expected_doublet_rate(t.rna.select("sample_id", "cell_id").distinct()), 9, "expected_doublet_rate")
+    return r(X.expected_doublet_rate(t.rna.select("sample_id", "cell_id").distinct(), min_cells=10), 9, "expected_doublet_rate")
 
 
 @add("p16_drop_doublets", duck("""select cell_id, sample_id from met where not total_counts > 1500""", "rna", ctes=_MET))
