@@ -26,8 +26,8 @@ MEASURES = {
     "symbol_rate": (0.06, False),
     "mark_rate": (0.06, False),
     "upper_rate": (0.06, False),
-    "dup_line_rate": (0.10, False),
-    "repeat_rate": (0.08, False),
+    "dup_line_rate": (0.16, False),
+    "repeat_rate": (0.14, False),
 }
 GAMMA = 1.02
 _ZERO = -100_000  # the bucket of values too small for a logarithm
