@@ -25,6 +25,7 @@ _BLANK = re.compile(r"\s")
 # Marks that never join the letters before them, and the end of the letters this is used for.
 _MARKS = "!#$%&)*,.:;?|"
 _LATIN_END = "\u0250"
+_LINES = re.compile(r"\S+(?:\n\S+)+")
 _CUT = re.compile(r" (?=\S)(?<=\S )")
 _ENCODERS: dict[str, "TextEncoder"] = {}
 
@@ -45,6 +46,8 @@ class TextEncoder:
         vocabulary = self._library.get_vocab()
         self._opens = np.zeros(max(vocabulary.values(), default=0) + 1, dtype=bool)
         self._opens[[i for token, i in vocabulary.items() if token.startswith(_SPACE)]] = True
+        self._line_end = self._library.encode("\n", add_special_tokens=False).ids[0]
+        self._line_end_bytes = self._line_end.to_bytes(4, "little")
         self._first: dict[str, bytes] = {}
         self._later: dict[str, bytes] = {}
         self._marks: dict[str, bytes] = {}
@@ -54,50 +57,76 @@ class TextEncoder:
         found = self._library.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(one.ids, dtype="<u4").tobytes() for one in found]
 
-    def _word_ids(self, words: list[str]) -> list[bytes]:
-        """Ids of words that follow a space: joined, encoded together, and parted where a token opens with a space."""
+    def _joined_ids(self, words: list[str], between: str) -> list[bytes]:
+        """Ids of words without white space, encoded together and parted again.
+
+        After a space, a word's first token opens with it; after a line end, which is a token of its own, it doesn't.
+        """
         out: list[bytes] = []
+        space = between == " "
         for at in range(0, len(words), 4096):
             block = words[at : at + 4096]
-            ids = np.array(self._library.encode_batch_fast([" " + " ".join(block)], add_special_tokens=False)[0].ids, dtype="<u4")
-            starts = np.flatnonzero(self._opens[ids]).tolist()
+            text = between.join(block)
+            ids = np.array(self._library.encode_batch_fast([" " + text if space else text], add_special_tokens=False)[0].ids, dtype="<u4")
+            starts = np.flatnonzero(self._opens[ids] if space else ids == self._line_end).tolist()
+            if len(starts) != len(block) - (not space):
+                raise ValueError("this vocabulary joins white space to the word before it")
             octets = ids.tobytes()
-            if len(starts) != len(block):
-                raise ValueError("this vocabulary joins a space to the word before it")
-            out += [octets[4 * a : 4 * b] for a, b in zip(starts, [*starts[1:], len(ids)], strict=True)]
+            ends = [*starts[1:], len(ids)] if space else [*starts, len(ids)]
+            firsts = starts if space else [0, *(i + 1 for i in starts)]
+            out += [octets[4 * i : 4 * j] for i, j in zip(firsts, ends, strict=True)]
         return out
 
+    def _learn(self, cache: dict[str, bytes], words: list[str], between: str) -> None:
+        """Add words without white space to a cache; a word of letters is encoded once for all marks after it."""
+        marked, whole = [], set()
+        for w in words:
+            stem = w.rstrip(_MARKS)
+            if len(stem) < len(w) and stem.isalpha() and max(stem) < _LATIN_END:
+                marked.append((w, stem, w[len(stem) :]))
+                if stem not in cache:
+                    whole.add(stem)
+            else:
+                whole.add(w)
+        new = list(whole)
+        cache.update(zip(new, self._joined_ids(new, between), strict=True))
+        marks = list({end for _, _, end in marked if end not in self._marks})
+        self._marks.update(zip(marks, self._ids(marks), strict=True))
+        for w, stem, end in marked:
+            cache[w] = cache[stem] + self._marks[end]
+
     def encode_many(self, texts: list[str]) -> list[bytes]:
         first, later = self._first, self._later
         if len(first) + len(later) > CACHE_WORDS:
             first.clear()
-            self._marks.clear()
             later.clear()
         cut = [_CUT.split(t) for t in texts]
-        heads = list({words[0] for words in cut if words[0] not in first})
-        tails = list({w for words in cut for w in words[1:] if w not in later})
-        first.update(zip(heads, self._ids(heads), strict=True))
-        plain = [w for w in tails if not _BLANK.search(w)]
-        ended = []  # a word of letters and the marks after it are two tokens' worth: encode the word once for all marks
-        whole = set()
-        for w in plain:
-            stem = w.rstrip(_MARKS)
-            if stem is not w and stem.isalpha() and max(stem) < _LATIN_END:
-                ended.append((w, stem))
-                whole.add(stem)
+        heads = [words[0] for words in cut]
+        used: set[str] = set()
+        for words in cut:
+            del words[0]
+            used.update(words)
+        first_new, later_new = {w for w in heads if w not in first}, [w for w in used if w not in later]
+        plain, lines, other = [], [], []
+        for w in later_new:
+            if not _BLANK.search(w):
+                plain.append(w)
+            elif _LINES.fullmatch(w):
+                lines.append((w, w.split("\n")))
             else:
-                whole.add(w)
-        new = [w for w in whole if w not in later]
-        later.update(zip(new, self._word_ids(new), strict=True))
-        marks = list({w[len(stem):] for w, stem in ended} - self._marks.keys())
-        self._marks.update(zip(marks, self._ids(marks), strict=True))
-        later.update([(w, later[stem] + self._marks[w[len(stem):]]) for w, stem in ended])
-        tails += new
-        odd = [w for w in tails if _BLANK.search(w)]  # with other white space inside
-        later.update(zip(odd, self._ids([" " + w for w in odd]), strict=True))
-        out = [first[words[0]] + b"".join([later[w] for w in words[1:]]) for words in cut]
-        for cache, new in ((first, heads), (later, tails)):
-            for w in new:
+                other.append(w)
+        needed = {p for _, parts in lines for p in parts[1:]}
+        alone = [w for w in first_new if not w or _BLANK.search(w)]
+        self._learn(first, [w for w in (first_new | needed) - set(alone) if w not in first], "\n")
+        self._learn(later, plain + list({parts[0] for _, parts in lines if parts[0] not in later}.difference(plain)), " ")
+        first.update(zip(alone, self._ids(alone), strict=True))
+        later.update(zip(other, self._ids([" " + w for w in other]), strict=True))
+        end = self._line_end_bytes
+        for w, parts in lines:
+            later[w] = later[parts[0]] + b"".join([end + first[p] for p in parts[1:]])
+        out = [first[head] + b"".join(map(later.__getitem__, words)) for head, words in zip(heads, cut, strict=True)]
+        for cache, words in ((first, first_new), (later, later_new)):
+            for w in words:
                 if len(w) > CACHE_CHARS:
                     cache.pop(w, None)
         return out
