@@ -1,13 +1,14 @@
 """Near copies: b-bit MinHash signatures in a multi-index Hamming join, confirmed on full shingle sets.
 
-A signature has :data:`CHUNKS` chunks of :data:`WIDTH` symbols of 16 bits. Two signatures that differ in fewer
+A signature has :data:`CHUNKS` chunks of :data:`WIDTH` symbols of 14 bits. Two signatures that differ in fewer
 than ``CHUNKS * (ERRORS + 1)`` symbols have, by pigeonhole, a chunk with at most ``ERRORS`` differing symbols;
 enumerating the symbols that may differ gives keys, one of which such a pair must share. At a similarity of 0.8
 a pair misses all keys with probability 2e-4, at 0.85 with 6e-6.
 
-Equal sets collapse to one representative first. In each key's bucket every representative is compared with
-the smallest one; buckets that still hold several components are then compared across components. So no bucket
-is expanded into all its pairs, and no link between different components is lost.
+Equal sets collapse to one representative first. In each key's bucket every representative is compared with one
+pivot; in buckets that still hold several components, pairs across components within the signature-distance
+threshold are compared too. So no bucket is expanded into all its pairs, and no link between different components
+is lost.
 """
 
 from __future__ import annotations
@@ -69,12 +70,12 @@ def shingle_set(text: str, words: int) -> np.ndarray:
 
 
 def signature(shingles: np.ndarray) -> np.ndarray:
-    """:data:`SYMBOLS` minima, each cut to 16 bits."""
+    """:data:`SYMBOLS` minima, each cut to 14 bits of 16."""
     lowest = np.full(SYMBOLS, np.iinfo(np.uint64).max, dtype=np.uint64)
     for at in range(0, len(shingles), 8192):
         block = shingles[at : at + 8192, None] * _MULTIPLIERS + _ADDENDS
         np.minimum(lowest, (block ^ (block >> np.uint64(29))).min(axis=0), out=lowest)
-    return (_mix(lowest) >> np.uint64(48)).astype(np.uint16)
+    return (_mix(lowest) >> np.uint64(50)).astype(np.uint16)
 
 
 def signature_keys(signatures: np.ndarray) -> np.ndarray:
@@ -91,6 +92,22 @@ def signature_keys(signatures: np.ndarray) -> np.ndarray:
     return np.stack(keys, axis=1).view(np.int64)
 
 
+def _distance(a: str, b: str) -> Column:
+    """Differing symbols of two signatures held as numbers of four symbols each."""
+    total = F.lit(0)
+    for i in range(SYMBOLS // 4):
+        x = F.col(a)[i].bitwiseXOR(F.col(b)[i])
+        # a carry into bit 14 of a symbol's 16 bits tells that one of its 14 bits differs
+        total = total + F.bit_count((x + F.lit(0x3FFF3FFF3FFF3FFF)).bitwiseAND(F.lit(0x4000400040004000)))
+    return total
+
+
+def farthest(percent: int) -> int:
+    """The signature-distance threshold: six standard deviations beyond the mean of pairs just similar enough."""
+    p = 1 - percent / 100
+    return min(SYMBOLS, int(SYMBOLS * p + 6 * (SYMBOLS * p * (1 - p)) ** 0.5) + 1)
+
+
 def _summaries(words: int):
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         import xxhash
@@ -100,7 +117,7 @@ def _summaries(words: int):
             for doc_id, text in zip(part["doc_id"].tolist(), part["text"].tolist(), strict=True):
                 found = shingle_set(text, words)
                 digest = xxhash.xxh3_128_digest(found.tobytes())
-                rows.append((doc_id, len(found), *np.frombuffer(digest, dtype="<i8").tolist(), signature(found).tobytes()))
+                rows.append((doc_id, len(found), *np.frombuffer(digest, dtype="<i8").tolist(), signature(found).view(np.int64)))
             out = pd.DataFrame(rows, columns=["doc_id", "n_shingles", "d1", "d2", "signature"])
             out["doc_id"] = out["doc_id"].astype("Int64")
             yield out
@@ -111,7 +128,7 @@ def _summaries(words: int):
 def _explode_keys(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for part in frames:
         if len(part):
-            signatures = np.stack([np.frombuffer(s, dtype=np.uint16) for s in part["signature"]])
+            signatures = np.stack(part["signature"].to_list()).astype(np.int64).view(np.uint16)
             yield pd.DataFrame({"rep": part["rep"], "keys": list(signature_keys(signatures))})
 
 
@@ -179,7 +196,7 @@ def near_copy_components(docs: DataFrame, *, shingle_words: int = 5, percent: in
     without ``doc_id`` takes no part: its component is null and it is kept. Other columns are not read.
     """
     docs = docs.select(F.col("doc_id").cast("bigint"), "text")
-    table = stored(docs.mapInPandas(_summaries(shingle_words), "doc_id bigint, n_shingles bigint, d1 bigint, d2 bigint, signature binary"), "signatures")
+    table = stored(docs.mapInPandas(_summaries(shingle_words), "doc_id bigint, n_shingles bigint, d1 bigint, d2 bigint, signature array<bigint>"), "signatures")
     full = table.where("n_shingles > 0 and doc_id is not null")
     # equal sets have equal signatures: partial aggregation folds the copies before the shuffle
     reps = stored(full.groupBy("d1", "d2").agg(F.min("doc_id").alias("rep"), F.first("n_shingles").alias("n_shingles"), F.first("signature").alias("signature")), "representatives")
@@ -189,9 +206,15 @@ def near_copy_components(docs: DataFrame, *, shingle_words: int = 5, percent: in
         .select("rep", F.explode("keys").alias("key"))
     )
     keyed = stored(keyed, "signature-keys")
-    shared = keyed.groupBy("key").agg(F.min("rep").alias("pivot"), F.max("rep").alias("last")).where("pivot < last").select("key", "pivot")
+    # each bucket's pivot is drawn by hash, so that a group that shares many buckets meets many pivots
+    keyed = keyed.withColumn("h", F.xxhash64("key", "rep"))
+    shared = keyed.groupBy("key").agg(F.min("h").alias("low"), F.max("h").alias("high")).where("low < high").select("key", "low")
     members = stored(keyed.join(shared, "key"), "bucket-members")
-    stars = members.where("rep <> pivot").select(F.col("pivot").alias("a"), F.col("rep").alias("b")).distinct()
+    pivots = members.where("h = low").select("key", F.col("rep").alias("pivot"))
+    stars = stored(
+        members.join(pivots, "key").where("rep <> pivot").select(F.least("rep", "pivot").alias("a"), F.greatest("rep", "pivot").alias("b")).distinct(),
+        "stars",
+    )
     links = stored(_confirmed(stars, docs, sizes, shingle_words, percent), "star-links")
 
     named = components(links, "star-components")
@@ -201,11 +224,11 @@ def near_copy_components(docs: DataFrame, *, shingle_words: int = 5, percent: in
     a, b = open_rows.alias("a"), open_rows.alias("b")
     across = (
         a.join(b, (F.col("a.key") == F.col("b.key")) & (F.col("a.component") != F.col("b.component")) & (F.col("a.rep") < F.col("b.rep"))
-               & (F.least("a.n_shingles", "b.n_shingles") * 100 >= F.greatest("a.n_shingles", "b.n_shingles") * percent))
+               & (F.least("a.n_shingles", "b.n_shingles") * 100 >= F.greatest("a.n_shingles", "b.n_shingles") * percent)
+               & (_distance("a.signature", "b.signature") <= farthest(percent)))
         .select(F.col("a.rep").alias("a"), F.col("b.rep").alias("b")).distinct()
     )
-    tested = stars.select("a", "b")
-    more = _confirmed(across.join(tested, ["a", "b"], "left_anti"), docs, sizes, shingle_words, percent)
+    more = _confirmed(across.join(stars, ["a", "b"], "left_anti"), docs, sizes, shingle_words, percent)
     copies = full.select("doc_id", "d1", "d2").join(reps.select("d1", "d2", "rep"), ["d1", "d2"]).select("doc_id", "rep").distinct()
     same = copies.where("doc_id <> rep").select(F.col("rep").alias("a"), F.col("doc_id").alias("b"))
     final = components(links.unionByName(more).unionByName(same), "components")
