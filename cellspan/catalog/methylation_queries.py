@@ -150,7 +150,7 @@ prev as (select feature_id, count(*) hypo_cells from hs where score >= 0.95 grou
 
 def scores(t):
     counts = I.count_over_bins(S.context_filter(t.sites), I.tile_genome(t.chrom_order, 1000), 1000)
-    return M.hypo_score(counts, exact_limit=400)
+    return M.hypo_score(counts)
 
 
 @add("m6_hypo_score", duck("select cell_id, feature_id, mc, cov, round(score, 6) score from hs where score >= 0.9", "cg", ctes=_HYPO))
@@ -158,6 +158,22 @@ def m6(t):
     return scores(t).withColumn("score", F.round("score", 6))
 
 
+# forty times the reads, and rates near one
+_DEEP = """
+bc as (select cell_id, chrom || '_' || cast(b*1000 as varchar) || '_' || cast(b*1000+1000 as varchar) feature_id,
+ cast(sum(cov)*40 - sum(cov-mc) as bigint) mc, cast(sum(cov)*40 as bigint) cov from (select *, (pos-1)//1000 b from cg) group by cell_id, chrom, b),
+br as (select *, sum(mc) over (partition by cell_id) / sum(cov) over (partition by cell_id) p from bc),
+hs as (select cell_id, feature_id, mc, cov, case when mc >= cov or p <= 0 then 0 when p >= 1 then 1 else list_sum(list_transform(generate_series(mc+1, cov),
+ lambda i: exp(lgamma(cov+1) - lgamma(i+1) - lgamma(cov-i+1) + i*ln(p) + (cov-i)*ln(1-p)))) end score from br)"""
+
+
+@add("m6_hypo_score_deep", duck("select cell_id, feature_id, mc, cov, round(score, 6) score from hs where score >= 0.9", "cg", ctes=_DEEP))
+def m6_deep(t):
+    counts = I.count_over_bins(S.context_filter(t.sites), I.tile_genome(t.chrom_order, 1000), 1000)
+    deep = counts.withColumn("mc", F.col("cov") * 40 - (F.col("cov") - F.col("mc"))).withColumn("cov", F.col("cov") * 40)
+    return M.hypo_score(deep).withColumn("score", F.round("score", 6))
+
+
 @add("a4_hypo_prevalence", duck("select * from prev", "cg", ctes=_HYPO))
 def a4(t):
     return M.hypo_prevalence(scores(t))

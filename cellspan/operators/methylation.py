@@ -255,14 +255,14 @@ def comparisons_without_real(windows: DataFrame, keys: tuple[str, ...] = ("compa
     return windows.groupBy(*keys).agg(F.bool_or("is_real").alias("any_real")).where(~F.col("any_real")).select(*keys)
 
 
-def hypo_score(counts: DataFrame, *, keep: float = 0.9, exact_limit: int = 200) -> DataFrame:
+def hypo_score(counts: DataFrame, *, keep: float = 0.9) -> DataFrame:
     """Hypomethylation score per (cell, bin): ``P(X > mc)``, X ~ Binomial(cov, cell rate).
 
     The cell rate is its total methylated over total reads in the same bins. Scores below ``keep``
     are dropped.
     """
     rate = counts.groupBy("cell_id").agg(safe_ratio(F.sum("mc"), F.sum("cov")).alias("__rate"))
-    score = binomial_upper_tail(F.col("mc"), F.col("cov"), F.col("__rate"), exact_limit)
+    score = binomial_upper_tail(F.col("mc"), F.col("cov"), F.col("__rate"))
     return counts.join(broadcast_if_small(rate, materialize=True), "cell_id").withColumn("score", score).where(F.col("score") >= keep).drop("__rate")
 
 

@@ -44,24 +44,33 @@ def stream_region_counts(sites: DataFrame, regions: DataFrame, output: str, *, c
     """Start the query that appends ``(cell_id, feature_id, mc, cov)`` below ``output/counts``.
 
     Each micro-batch overwrites its own ``batch_id`` folder, so a replayed batch leaves no duplicate.
-    Cells written by an earlier batch are skipped. Needs a shared file system for ``output``.
+    A cell comes from one file: the same file seen again changes nothing, and a second file with a cell id that
+    another file has brought, in the same batch or an earlier one, stops the query. The file is ``path`` where the
+    sites have it, else the file that Spark reads. Needs a shared file system for ``output``.
     """
     spark = sites.sparkSession
     _check_definition(spark, regions, context, f"{output}/definition")
     index = index_regions(regions.select("chrom", "start", "end", "feature_id"))
-    wanted = valid_sites(context_filter(sites, context, "dinucleotide"), "count").select("cell_id", "chrom", "pos", "mc", "cov")
+    if "path" not in sites.columns:
+        sites = sites.withColumn("path", F.col("_metadata.file_path"))
+    wanted = valid_sites(context_filter(sites, context, "dinucleotide"), "count").select("cell_id", "path", "chrom", "pos", "mc", "cov")
 
     def write(batch: DataFrame, batch_id: int) -> None:
         session = batch.sparkSession
         done = _read_or_none(session, f"{output}/cells")
-        fresh = batch
+        fresh, origins = batch, batch.select("cell_id", "path")
         if done is not None:
-            fresh = batch.join(done.where(F.col("batch_id") < batch_id), "cell_id", "left_anti")
+            earlier = done.where(F.col("batch_id") < batch_id).select("cell_id", "path")
+            fresh = batch.join(earlier, ["cell_id", "path"], "left_anti")
+            origins = origins.unionByName(earlier.join(origins.select("cell_id").distinct(), "cell_id", "left_semi"))
         fresh = fresh.persist()
         try:
+            twice = origins.groupBy("cell_id").agg(F.min("path").alias("a"), F.max("path").alias("b")).where("a <> b").first()
+            if twice is not None:
+                raise ValueError(f"cell {twice['cell_id']} comes from more than one file: {twice['a']}, {twice['b']}")
             count_over_regions(fresh, index).write.mode("overwrite").parquet(f"{output}/counts/batch_id={batch_id}")
             # the cell list is written last: it marks the batch as finished
-            fresh.select("cell_id").distinct().write.mode("overwrite").parquet(f"{output}/cells/batch_id={batch_id}")
+            fresh.select("cell_id", "path").distinct().write.mode("overwrite").parquet(f"{output}/cells/batch_id={batch_id}")
         finally:
             fresh.unpersist()
 

@@ -145,12 +145,27 @@ def test_stream_counts_each_cell_once_and_keeps_its_definition(spark, tmp_path,
     put(source / "c1.allc.tsv.gz", "chr1\t10\t+\tCGN\t1\t2\nchr1\t250\t+\tCGA\t2\t2\nchr1\t20\t+\tCHN\t2\t2\n")
     assert run() == [("S_c1", "r1", 1, 2), ("S_c1", "r2", 2, 2)]
     put(source / "c2.allc.tsv.gz", "chr1\t100\t+\tCGN\t0\t3\n")
-    put(source / "again/c1.allc.tsv.gz", "chr1\t10\t+\tCGN\t1\t2\n")
     want = [("S_c1", "r1", 1, 2), ("S_c1", "r2", 2, 2), ("S_c2", "r1", 0, 3)]
     assert run() == want and run() == want
     changed = regions.withColumn("end", F.col("end") + 1)
     with pytest.raises(ValueError, match="differs"):
         RC.stream_region_counts(RC.stream_allc(spark, str(source), "S"), changed, out)
-    batch = SF.read_allc(spark, str(source), "*.gz").where("context like 'CG%'").where(~F.col("path").contains("again"))
+    batch = SF.read_allc(spark, str(source), "*.gz").where("context like 'CG%'")
     named = batch.withColumn("cell_id", SF.prefixed_cell_id(SF.cell_name(F.element_at(F.split("path", "/"), -1)), F.lit("S")))
     assert rows(I.count_over_regions(named, regions)) == want
+
+
+@pytest.mark.parametrize("together", [True, False])
+def test_stream_refuses_a_cell_from_two_files(spark, tmp_path, together):
+    regions = spark.createDataFrame([("chr1", 0, 100, "r1")], "chrom string, start long, end long, feature_id string")
+    source, out = tmp_path / "in", f"{tmp_path}/out"
+
+    def run():
+        RC.stream_region_counts(RC.stream_allc(spark, str(source), "S"), regions, out).awaitTermination()
+
+    put(source / "c1.allc.tsv.gz", "chr1\t10\t+\tCGN\t1\t2\n")
+    if not together:
+        run()
+    put(source / "again/c1.allc.tsv.gz", "chr1\t10\t+\tCGN\t1\t2\n")
+    with pytest.raises(Exception, match="more than one file"):
+        run()

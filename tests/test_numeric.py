@@ -113,8 +113,20 @@ def test_binomial_tail(spark):
     for r in df.withColumn("t", stats.binomial_upper_tail(F.col("k"), F.col("n"), F.col("p"))).collect():
         want = sum(math.comb(r["n"], i) * r["p"] ** i * (1 - r["p"]) ** (r["n"] - i) for i in range(r["k"] + 1, r["n"] + 1))
         assert r["t"] == pytest.approx(want, abs=1e-9)
-    big = spark.createDataFrame([(210, 400, 0.5)], "k long, n long, p double").select(stats.binomial_upper_tail(F.col("k"), F.col("n"), F.col("p"))).first()[0]
-    assert big == pytest.approx(sum(math.comb(400, i) for i in range(211, 401)) / 2**400, abs=2e-3)
+
+
+def test_binomial_tail_at_depth(spark):
+    # from exact rational sums
+    cases = [(199, 200, 0.98, 0.017588), (195, 200, 0.98, 0.62884), (380, 400, 0.9, 9.4654e-5), (10, 201, 0.05, 0.42335)]
+    df = spark.createDataFrame(cases, "k long, n long, p double, want double")
+    for r in df.withColumn("t", stats.binomial_upper_tail(F.col("k"), F.col("n"), F.col("p"))).collect():
+        assert r["t"] == pytest.approx(r["want"], abs=1e-5, rel=1e-4)
+    deep = [(k, 5000, p) for p in (0.001, 0.5, 0.999) for k in (0, 10, 2400, 2600, 4990, 4999)]
+    df = spark.createDataFrame(deep, "k long, n long, p double")
+    for r in df.withColumn("t", stats.binomial_upper_tail(F.col("k"), F.col("n"), F.col("p"))).collect():
+        n, p = r["n"], r["p"]
+        log = lambda i: math.lgamma(n + 1) - math.lgamma(i + 1) - math.lgamma(n - i + 1) + i * math.log(p) + (n - i) * math.log1p(-p)
+        assert r["t"] == pytest.approx(math.fsum(math.exp(log(i)) for i in range(r["k"] + 1, n + 1)), rel=1e-7, abs=1e-12)
 
 
 def test_tails(spark):
