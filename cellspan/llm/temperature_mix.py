@@ -23,7 +23,7 @@ MAX_SOURCES = 100_000
 
 def word_count(text: Column) -> Column:
     """Words between white space: the measure of tokens when none is given."""
-    return F.when(F.trim(F.coalesce(text, F.lit(""))) == "", 0).otherwise(F.size(F.split(F.trim(text), r"\s+"))).cast("bigint")
+    return F.coalesce(F.regexp_count(text, F.lit(r"\S+")), F.lit(0)).cast("bigint")
 
 
 def weights_at(shares: list[float], exponent: float) -> list[float]:
