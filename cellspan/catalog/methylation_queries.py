@@ -11,13 +11,15 @@ from cellspan.operators import sites as S
 
 add = registry.add
 
-_CALLS = """
-calls as (select cell_id, sample_id, cell_type, chrom, pos, case when mc*2 >= cov then 1 else 0 end call from cg),
+_CALL = """
+calls as (select cell_id, sample_id, cell_type, chrom, pos, case when mc*2 >= cov then 1 else 0 end call from cg),"""
+_RESID = """
 per_pos as (select chrom, pos, count(*) n, cast(sum(call) as bigint) meth from calls group by 1,2),
 smooth as (select a.chrom, a.pos, a.n, a.meth, sum(k*b.meth)/sum(k*b.n) smoothed from (
  select *, 1 - power(abs(a_pos - b_pos)/1000.0, 3) u, u*u*u k from (select chrom, pos a_pos from per_pos) x join (select chrom bc, pos b_pos, n bn, meth bm from per_pos) y
  on x.chrom = y.bc and abs(a_pos - b_pos) < 1000) z join per_pos a on a.chrom=z.chrom and a.pos=z.a_pos join per_pos b on b.chrom=z.chrom and b.pos=z.b_pos group by 1,2,3,4),
 resid as (select c.*, c.call - s.smoothed r from calls c join smooth s using (chrom, pos))"""
+_CALLS = _CALL + _RESID
 
 
 def calls(t):
@@ -65,7 +67,7 @@ def m3(t):
     return out.withColumn("peak_var", F.round("peak_var", 6))
 
 
-_DIFF = _CALLS + """,
+_CONTRAST = """,
 pane as (select cell_id, sample_id, cell_type, chrom, (pos-1)//500 p, count(*) n, sum(call) meth, sum(r) r from resid group by all),
 cw as (select cell_id, sample_id, cell_type, chrom, w, sum(n) n, sum(meth) meth, sum(r)/(sum(n)+1) v from (select *, unnest(generate_series(greatest(p-3, 0), p)) w from pane) group by all),
 lw as (select sample_id, cell_type, chrom, w, count(*)::double n, sum(v) s, sum(v*v) q, sum(meth) k, sum(n) c from cw group by all having count(*) >= 6),
@@ -76,6 +78,7 @@ co as (select a.sample_id, a.cell_type cell_type_a, b.cell_type cell_type_b, a.c
 cz as (select *, (8*df+1)/(8*df+3)*sqrt(df*ln(1+t*t/df))/sqrt(2) x, 1/(1+0.3275911*x) k from co),
 contrast as (select *, case when t < 0 then 'group_A' else 'group_B' end low_group, greatest(0, least(1,
  k*(0.254829592 + k*(-0.284496736 + k*(1.421413741 + k*(-1.453152027 + k*1.061405429))))*exp(-x*x))) raw_p from cz)"""
+_DIFF = _CALLS + _CONTRAST
 
 
 def contrasts(t):
@@ -93,12 +96,13 @@ def m4_windows(t):
     return out
 
 
-_DMRS = _DIFF + """,
+_MERGED = """,
 hit as (select * from (select *, round(abs(t), 9) abt, quantile_cont(round(abs(t), 9), 0.9) over (partition by sample_id, cell_type_a, cell_type_b) cut from contrast) where abt >= round(cut, 9)),
 isl as (select *, sum(case when m is null or "start" >= m then 1 else 0 end) over (partition by sample_id, cell_type_a, cell_type_b, low_group, chrom order by "start" rows unbounded preceding) g from (
  select *, max("end") over (partition by sample_id, cell_type_a, cell_type_b, low_group, chrom order by "start" rows between unbounded preceding and 1 preceding) m from hit)),
 dmrs as (select sample_id, cell_type_a, cell_type_b, low_group, chrom, min("start") "start", max("end") "end",
  first({'t': t, 'ns': n_sites, 'na': n_a, 'nb': n_b, 'ma': meth_a, 'mb': meth_b, 'p': raw_p} order by abt desc, "start") k from isl group by sample_id, cell_type_a, cell_type_b, low_group, chrom, g)"""
+_DMRS = _DIFF + _MERGED
 
 
 @add("m4_diff_methylation", duck("""
@@ -111,6 +115,40 @@ def m4(t):
     return out
 
 
+# real and permuted labels side by side; permuted windows face the cut of the real ones
+_FDR = _CALLS + """,
+permuted as (select d.cell_id, d.sample_id, i.cell_type from (select cell_id, sample_id, row_number() over (partition by sample_id order by md5(cell_id || '|3'), cell_id) k from cells) d
+ join (select sample_id, cell_type, row_number() over (partition by sample_id order by cell_id) k from cells) i on i.sample_id=d.sample_id and i.k=d.k),
+labelled as (select cell_id, sample_id, cell_type, true is_real from cells union all select cell_id, sample_id, cell_type, false from permuted),
+pane as (select cell_id, chrom, (pos-1)//500 p, count(*) n, sum(call) meth, sum(r) r from resid group by all),
+cw as (select cell_id, chrom, w, sum(n) n, sum(meth) meth, sum(r)/(sum(n)+1) v from (select *, unnest(generate_series(greatest(p-3, 0), p)) w from pane) group by all),
+lw as (select is_real, sample_id, cell_type, chrom, w, count(*)::double n, sum(v) s, sum(v*v) q, sum(meth) k, sum(n) c from cw join labelled using (cell_id) group by all having count(*) >= 6),
+va as (select *, greatest(q - s*s/n, 0)/(n-1)/n v from lw),
+co as (select a.is_real, a.sample_id, a.cell_type cell_type_a, b.cell_type cell_type_b, a.chrom, a.w*500 "start", a.w*500+2000 "end", (a.s/a.n - b.s/b.n)/sqrt(a.v+b.v) t,
+ cast(a.c + b.c as bigint) n_sites, a.k/a.c meth_a, b.k/b.c meth_b from va a join va b on a.is_real=b.is_real and a.sample_id=b.sample_id and a.chrom=b.chrom and a.w=b.w
+ and a.cell_type < b.cell_type where a.v+b.v > 0),
+cutoff as (select sample_id, cell_type_a, cell_type_b, round(quantile_cont(round(abs(t), 9), 0.9), 9) cut from co where is_real group by all),
+hit as (select co.*, round(abs(t), 9) abt, case when t < 0 then 'group_A' else 'group_B' end low_group from co join cutoff using (sample_id, cell_type_a, cell_type_b) where round(abs(t), 9) >= cut),
+isl as (select *, sum(case when m is null or "start" >= m then 1 else 0 end) over (partition by is_real, sample_id, cell_type_a, cell_type_b, low_group, chrom order by "start" rows unbounded preceding) g from (
+ select *, max("end") over (partition by is_real, sample_id, cell_type_a, cell_type_b, low_group, chrom order by "start" rows between unbounded preceding and 1 preceding) m from hit)),
+found as (select is_real, sample_id, cell_type_a, cell_type_b, low_group, chrom, min("start") "start", max("end") "end", max(abt) abt, first(n_sites order by abt desc, "start") n_sites
+ from isl group by is_real, sample_id, cell_type_a, cell_type_b, low_group, chrom, g),
+ranked as (select *, count(*) filter (is_real) over upto cr, count(*) filter (not is_real) over upto cp, count(*) filter (is_real) over every n_real, count(*) filter (not is_real) over every n_permuted
+ from found window every as (partition by sample_id, cell_type_a, cell_type_b), upto as (partition by sample_id, cell_type_a, cell_type_b order by abt desc range unbounded preceding))"""
+
+
+@add("m4_diff_methylation_fdr", duck("""
+select sample_id, cell_type_a, cell_type_b, chrom, "start", "end", low_group, n_sites, round(abt, 5) abs_t,
+ round(case when n_permuted > 0 then least(1, (cp/n_permuted)/(cr/n_real)) end, 6) adj_p from ranked where is_real""", "cells", "cg", ctes=_FDR))
+def m4_fdr(t):
+    windows = M.label_windows(residuals(t), t.cells, bandwidth=2000, step=500, permute_seed=3)
+    out = M.diff_methylation(M.compare_windows(windows, bandwidth=2000, step=500), threshold=0.1)
+    return out.select(
+        "sample_id", "cell_type_a", "cell_type_b", "chrom", "start", "end", "low_group", "n_sites",
+        F.round(F.abs("t_stat"), 5).alias("abs_t"), F.round("adj_p", 6).alias("adj_p"),
+    )
+
+
 @add("m4_comparison_status", duck("""
 select p.*, case when least(group_a_cells, group_b_cells) < 60 then 'ineligible' else 'complete' end status,
  case when least(group_a_cells, group_b_cells) < 60 then 0 else coalesce(n, 0) end dmr_rows from (
@@ -181,7 +219,7 @@ def a4(t):
 
 @add("w8_rank_bins", duck("select * from (select *, row_number() over (order by hypo_cells desc, feature_id) selection_rank from prev) where selection_rank <= 40", "cg", ctes=_HYPO))
 def w8(t):
-    return FT.rank_bins(M.hypo_prevalence(scores(t)), 40)
+    return FT.rank_bins(M.hypo_prevalence(scores(t)), 40, exact=False)  # small tables hold fewer
 
 
 @add("w8_rank_bins_summary", duck("""

@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from cellspan.catalog.base import duck, registry
-from cellspan.catalog.methylation_queries import _DMRS
+from cellspan.catalog.methylation_queries import _CONTRAST, _MERGED, _RESID
 from cellspan.plans import routes
 
 add = registry.add
@@ -23,7 +23,10 @@ def feature_matrix(t):
     return out.counts
 
 
-_ROUTE = _DMRS + """,
+_ROUTE = """
+passed as (select cell_id from cg group by cell_id having count(*) >= 15 and 100.0*avg(case when mc*2 >= cov then 1 else 0 end) between 60 and 95),
+good as (select * from cg where cell_id in (select cell_id from passed)),
+calls as (select cell_id, sample_id, cell_type, chrom, pos, case when mc*2 >= cov then 1 else 0 end call from good),""" + _RESID + _CONTRAST + _MERGED + """,
 hypo_rows as (select sample_id, chrom, "start", "end", abs(k.ma - k.mb) abs_diff, k.p raw_p, case low_group when 'group_A' then cell_type_a else cell_type_b end hypo,
  case low_group when 'group_A' then cell_type_b else cell_type_a end other from dmrs where k.p < 0.1 and abs(k.ma - k.mb) >= 0.1),
 best as (select * from (select *, row_number() over (partition by sample_id, hypo, chrom, "start", "end" order by abs_diff desc, raw_p, other) kk from hypo_rows) where kk = 1),
@@ -32,7 +35,7 @@ mi as (select *, sum(case when m is null or "start" >= m then 1 else 0 end) over
  select *, max("end") over (partition by sample_id, chrom order by "start", "end", hypo rows between unbounded preceding and 1 preceding) m from top)),
 feat as (select *, sample_id || '__merged_hypo_DMR_' || lpad(cast(row_number() over (partition by sample_id order by "rank", "start", "end") as varchar), 6, '0') feature_id
  from (select sample_id, chrom, min("start") "start", max("end") "end" from mi group by sample_id, chrom, g) join chrom_order using (chrom)),
-matrix as (select s.cell_id, f.feature_id, avg(r) "value", count(*) n_sites from (select cell_id, sample_id, chrom, pos, sum(mc)/sum(cov) r from cg group by 1,2,3,4) s join feat f
+matrix as (select s.cell_id, f.feature_id, avg(r) "value", count(*) n_sites from (select cell_id, sample_id, chrom, pos, sum(mc)/sum(cov) r from good group by 1,2,3,4) s join feat f
  on s.chrom=f.chrom and s.sample_id=f.sample_id and s.pos >= f."start" and s.pos < f."end" group by 1,2)"""
 
 
@@ -42,6 +45,7 @@ select cell_id, feature_id, round("value", 6) "value", n_sites, n observed_cells
 def differential_matrix(t):
     out = routes.differential_matrix(
         t.sites, t.cells, t.chrom_order, round_sites=True, step=500, threshold=0.1, max_raw_p=0.1, min_abs_diff=0.1, top=5, min_observed=12,
+        cell_filter={"min_sites": 15, "min_pct": 60, "max_pct": 95},
     )
     return out.matrix.withColumn("value", F.round("value", 6)).withColumn("z", F.round("z", 4))
 

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from cellspan.functions.columns import safe_ratio
 from cellspan.operators.intervals import non_overlapping
+from cellspan.operators.quality import require_empty
 from cellspan.plans.prefix import global_row_number
 from cellspan.plans.quantiles import exact_quantiles
 from cellspan.plans.storage import cut_lineage
@@ -31,16 +32,27 @@ def _coverage_cutoff(covered: DataFrame, cells: DataFrame, n: int, floor_percent
     return F.greatest(nth, floor)
 
 
-def rank_regions(covered: DataFrame, cells: DataFrame, n: int, *, floor_percent: float = 0.0) -> DataFrame:
+def _complete(top: DataFrame, n: int, exact: bool) -> DataFrame:
+    """``top``, stored once and refused when it holds fewer than ``n`` rows, if ``exact``."""
+    if not exact:
+        return top
+    top = cut_lineage(top)
+    found = top.count()
+    if found < n:
+        raise ValueError(f"{n} features were asked for, {found} are eligible")
+    return top
+
+
+def rank_regions(covered: DataFrame, cells: DataFrame, n: int, *, floor_percent: float = 0.0, exact: bool = True) -> DataFrame:
     """The ``n`` best coverage-eligible regions with ``selection_rank``.
 
     Order: ``peak_var`` desc, ``n_obs_cells`` desc, ``n_cpg`` desc, id. The top-n runs before the
-    numbering window, so that window sees exactly ``n`` rows.
+    numbering window, so that window sees exactly ``n`` rows. Fewer are an error unless ``exact`` is off.
     """
     keys = [F.desc("peak_var"), F.desc("n_obs_cells"), F.desc("n_cpg"), F.asc("feature_id")]
     covered = cut_lineage(covered)  # one row per region, read for the cutoff and for the ranking
     eligible = covered.where(F.col("covered_cells") >= _coverage_cutoff(covered, cells, n, floor_percent))
-    top = eligible.orderBy(*keys).limit(n)
+    top = _complete(eligible.orderBy(*keys).limit(n), n, exact)
     return top.withColumn("length", F.col("end") - F.col("start")).withColumn(
         "selection_rank", F.row_number().over(Window.orderBy(*keys)).cast("long")
     )
@@ -61,16 +73,19 @@ def rank_regions_summary(covered: DataFrame, cells: DataFrame, n: int, *, floor_
     )
 
 
-def rank_bins(prevalence: DataFrame, n: int) -> DataFrame:
-    """The ``n`` bins most often hypomethylated (ties by id), with ``selection_rank``."""
+def rank_bins(prevalence: DataFrame, n: int, *, exact: bool = True) -> DataFrame:
+    """The ``n`` bins most often hypomethylated (ties by id), with ``selection_rank``.
+
+    Fewer are an error unless ``exact`` is off.
+    """
     keys = [F.desc("hypo_cells"), F.asc("feature_id")]
-    top = prevalence.where(F.col("hypo_cells") > 0).orderBy(*keys).limit(n)
+    top = _complete(prevalence.where(F.col("hypo_cells") > 0).orderBy(*keys).limit(n), n, exact)
     return top.withColumn("selection_rank", F.row_number().over(Window.orderBy(*keys)).cast("long"))
 
 
 def rank_bins_summary(prevalence: DataFrame, cells: DataFrame, n: int) -> DataFrame:
     """Boundary count of the top ``n``, bins tied with it, and its share of the cells."""
-    boundary = rank_bins(prevalence, n).agg(F.min("hypo_cells")).scalar()
+    boundary = rank_bins(prevalence, n, exact=False).agg(F.min("hypo_cells")).scalar()
     return prevalence.withColumn("__b", boundary).agg(
         F.count_if(F.col("hypo_cells") > 0).alias("nonzero_hypo_bins"),
         F.max("__b").alias("boundary_hypo_cells"),
@@ -81,14 +96,18 @@ def rank_bins_summary(prevalence: DataFrame, cells: DataFrame, n: int) -> DataFr
     )
 
 
-def nested_subset(ranked: DataFrame, k: int) -> DataFrame:
-    """The first ``k`` ranked features. :func:`nested_subset_problem` tells whether ranks are complete."""
-    return ranked.where(F.col("selection_rank") <= k)
+def nested_subset(ranked: DataFrame, k: int, *, exact: bool = True) -> DataFrame:
+    """The first ``k`` ranked features. Ranks other than ``1..k``, once each, are an error unless ``exact`` is off."""
+    first = ranked.where(F.col("selection_rank") <= k)
+    if exact:
+        first = cut_lineage(first)
+        require_empty(nested_subset_problem(first, k), f"ranks 1 to {k} are not complete")
+    return first
 
 
 def nested_subset_problem(ranked: DataFrame, k: int) -> DataFrame:
     """One row when the ranks ``1..k`` are not present exactly once, else none."""
-    return nested_subset(ranked, k).agg(
+    return nested_subset(ranked, k, exact=False).agg(
         F.count("*").alias("rows"), F.count_distinct("selection_rank").alias("ranks"), F.min("selection_rank").alias("lowest")
     ).where((F.col("rows") != k) | (F.col("ranks") != k) | (F.col("lowest") != 1))
 

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from cellspan.functions.columns import int_div, safe_ratio
 from cellspan.functions.stats import binomial_upper_tail, student_two_sided, welch_t
 from cellspan.operators.intervals import join_sites_to_regions, merge_overlapping
+from cellspan.operators.quality import require_empty
 from cellspan.plans.prefix import global_row_number, ordered_blocks, prefix_sum
 from cellspan.plans.quantiles import exact_quantiles
 from cellspan.plans.sizes import broadcast_if_small
@@ -145,11 +146,29 @@ def scan_variable_regions(
     return regions.join(seen, "feature_id").select("chrom", "start", "end", F.col("variance").alias("peak_var"), "n_cpg", "n_obs_cells")
 
 
-def label_windows(residuals: DataFrame, cells: DataFrame, *, bandwidth: int = 2000, step: int = 1000) -> DataFrame:
-    """Per (sample, label, window): cells, sums and squares of cell values, and call totals."""
-    tagged = residuals.join(broadcast_if_small(cells.select("cell_id", "sample_id", "cell_type")), "cell_id")
-    per_cell = _cell_windows(tagged, bandwidth, step, ("sample_id", "cell_type"))
-    return per_cell.groupBy("sample_id", "cell_type", "chrom", "window").agg(
+def label_windows(
+    residuals: DataFrame, cells: DataFrame, *, bandwidth: int = 2000, step: int = 1000, permute_seed: int | None = None
+) -> DataFrame:
+    """Per (sample, label, window): cells, sums and squares of cell values, and call totals.
+
+    With ``permute_seed``, each cell's windows count once under its own label and once under its
+    permuted one (:func:`permute_labels`), told apart by ``is_real``; sites are summed only once.
+    """
+    labels = cells.select("cell_id", "sample_id", "cell_type")
+    groups = ["sample_id", "cell_type"]
+    if permute_seed is not None:
+        dealt = permute_labels(labels, permute_seed).withColumnRenamed("cell_type", "permuted_type")
+        labels = labels.join(dealt, ["sample_id", "cell_id"])
+    extra = tuple(c for c in labels.columns if c != "cell_id")
+    tagged = residuals.join(broadcast_if_small(labels, materialize=permute_seed is not None), "cell_id")
+    per_cell = _cell_windows(tagged, bandwidth, step, extra)
+    if permute_seed is not None:
+        either = F.array(
+            F.struct(F.lit(True).alias("is_real"), F.col("cell_type")), F.struct(F.lit(False).alias("is_real"), F.col("permuted_type").alias("cell_type"))
+        )
+        per_cell = per_cell.withColumn("__l", F.explode(either)).drop("cell_type", "permuted_type").select("*", "__l.*")
+        groups.append("is_real")
+    return per_cell.groupBy(*groups, "chrom", "window").agg(
         F.count("*").alias("cells"), F.sum("value").alias("s"), F.sum(F.col("value") * F.col("value")).alias("q"),
         F.sum("meth").alias("meth"), F.sum("n").alias("n_sites"),
     )
@@ -158,19 +177,20 @@ def label_windows(residuals: DataFrame, cells: DataFrame, *, bandwidth: int = 20
 def compare_windows(windows: DataFrame, *, bandwidth: int = 2000, step: int = 1000, min_cells: int = 6) -> DataFrame:
     """Welch contrast of every label pair in every window both cover with enough cells.
 
-    All comparisons come from one equi-join of the label sums on (sample, chromosome, window); the
-    pair test is the residual condition.
+    All comparisons come from one equi-join of the label sums on (sample, chromosome, window), and on
+    ``is_real`` where permuted labels are present; the pair test is the residual condition.
     """
     enough = windows.where(F.col("cells") >= min_cells)
+    kind = [c for c in ("is_real",) if c in windows.columns]
     side = lambda x: enough.select(
-        "sample_id", "chrom", "window", F.col("cell_type").alias(f"cell_type_{x}"), F.col("cells").alias(f"n_{x}"),
+        "sample_id", *kind, "chrom", "window", F.col("cell_type").alias(f"cell_type_{x}"), F.col("cells").alias(f"n_{x}"),
         F.col("s").alias(f"s_{x}"), F.col("q").alias(f"q_{x}"), F.col("meth").alias(f"k_{x}"), F.col("n_sites").alias(f"c_{x}"),
     )
-    both = side("a").join(side("b"), ["sample_id", "chrom", "window"]).where(F.col("cell_type_a") < F.col("cell_type_b"))
+    both = side("a").join(side("b"), ["sample_id", *kind, "chrom", "window"]).where(F.col("cell_type_a") < F.col("cell_type_b"))
     t, df = welch_t(*[F.col(c) for c in ("n_a", "s_a", "q_a", "n_b", "s_b", "q_b")])
     out = both.withColumn("t_stat", t).withColumn("__df", df).where("t_stat is not null and __df > 0")
     return out.select(
-        "sample_id", "cell_type_a", "cell_type_b", "chrom",
+        "sample_id", "cell_type_a", "cell_type_b", *kind, "chrom",
         (F.col("window") * step).alias("start"), (F.col("window") * step + bandwidth).alias("end"),
         "t_stat", (F.col("c_a") + F.col("c_b")).alias("n_sites"), "n_a", "n_b",
         safe_ratio("k_a", "c_a").alias("meth_a"), safe_ratio("k_b", "c_b").alias("meth_b"),
@@ -186,19 +206,32 @@ def diff_methylation(
 
     A window qualifies when ``|t|`` reaches the ``1 - threshold`` quantile of its comparison. A merged
     region carries the numbers of its most extreme window.
+
+    Where ``contrasts`` holds permuted labels too (``is_real``), their windows must reach the cut of the
+    real ones, and ``adj_p`` of a real region is its :func:`empirical_fdr` against the permuted regions
+    of the comparison: null when there is none. A comparison with permuted windows only is an error.
+    Without permuted labels ``adj_p`` is null.
     """
     keys = ["sample_id", "cell_type_a", "cell_type_b"]
+    kind = [c for c in ("is_real",) if c in contrasts.columns]
     w = cut_lineage(contrasts.withColumn("abs_t", F.round(F.abs(F.col("t_stat")), 9)))
-    cut = exact_quantiles(w, keys, "abs_t", [1.0 - threshold]).select(*keys, F.round("quantile", 9).alias("__cut"))
-    hits = w.join(cut, keys).where(F.col("abs_t") >= F.col("__cut"))
+    if kind:
+        require_empty(comparisons_without_real(w, tuple(keys)), "comparisons without a real window")
+    real = w.where("is_real") if kind else w
+    cut = exact_quantiles(real, keys, "abs_t", [1.0 - threshold]).select(*keys, F.round("quantile", 9).alias("__cut"))
+    hits = w.join(broadcast_if_small(cut, materialize=True), keys).where(F.col("abs_t") >= F.col("__cut"))
     peak = F.struct("abs_t", -F.col("start"), "t_stat", "n_sites", "n_a", "n_b", "meth_a", "meth_b", "raw_p").alias("peak")
     merged = merge_overlapping(
-        hits.select(*keys, "low_group", "chrom", "start", "end", peak), [*keys, "low_group"], max_of=["peak"], bridge_gaps=bridge_gaps
-    )
-    return merged.select(
-        *keys, "chrom", "start", "end", "peak.t_stat", "peak.n_sites", "peak.n_a", "peak.n_b",
-        "peak.meth_a", "peak.meth_b", "low_group", "peak.raw_p", F.lit(None).cast("double").alias("adj_p"),
+        hits.select(*keys, *kind, "low_group", "chrom", "start", "end", peak), [*keys, *kind, "low_group"], max_of=["peak"], bridge_gaps=bridge_gaps
+    ).select(
+        *keys, *kind, "chrom", "start", "end", "peak.t_stat", "peak.n_sites", "peak.n_a", "peak.n_b",
+        "peak.meth_a", "peak.meth_b", "low_group", "peak.raw_p", "peak.abs_t",
     )
+    if kind:
+        judged = empirical_fdr(cut_lineage(merged), tuple(keys)).drop("n_real", "n_permuted")
+    else:
+        judged = merged.withColumn("adj_p", F.lit(None).cast("double"))
+    return judged.select(*[c for c in merged.columns if c not in ("is_real", "abs_t")], "adj_p")
 
 
 def comparison_status(pairs: DataFrame, dmr: DataFrame, min_cells: int = 6) -> DataFrame:

@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cellspan.operators import batch, cells, expression, features, graph, intervals, linalg, methylation, neighbors, regions, sites
+from cellspan.plans.sizes import broadcast_if_small
 from cellspan.plans.storage import cut_lineage
 
 
@@ -53,16 +54,23 @@ def feature_matrix(
 def differential_matrix(
     site_rows: DataFrame, cell_table: DataFrame, chrom_order: DataFrame, *, context: str = "CGN", round_sites: bool = False,
     smooth_bandwidth: int = 1000, bandwidth: int = 2000, step: int = 1000, threshold: float = 0.02, min_cells: int = 6,
-    max_raw_p: float = 0.01, min_abs_diff: float = 0.25, top: int = 200, min_observed: int = 30,
+    max_raw_p: float = 0.01, min_abs_diff: float = 0.25, top: int = 200, min_observed: int = 30, cell_filter: dict | None = None,
+    permute_seed: int = 0,
 ) -> DifferentialMatrix:
     """Sites to group contrasts to leading hypomethylated regions to a z-scored region-by-cell table.
 
+    Cells pass ``meth_cell_filter`` (its bounds in ``cell_filter``) before smoothing. Contrasts run for
+    the real and for permuted labels in one job, which gives ``dmr`` its ``adj_p``.
     Regions belong to a sample and are filled from that sample's cells only.
     """
     usable = sites.valid_sites(sites.context_filter(site_rows, context), "convert")
+    passed = cut_lineage(cells.meth_cell_filter(cells.meth_cell_stats(sites.binary_calls(usable, round_sites)), **(cell_filter or {})))
+    if passed.isEmpty():
+        raise ValueError("no cell passes the site and methylation bounds")
+    usable = usable.join(broadcast_if_small(passed.select("cell_id")), "cell_id", "left_semi")
     calls = sites.binary_calls(usable, round_sites)
     residuals = methylation.call_residuals(calls, methylation.smooth_methylation(calls, smooth_bandwidth))
-    windows = methylation.label_windows(residuals, cell_table, bandwidth=bandwidth, step=step)
+    windows = methylation.label_windows(residuals, cell_table, bandwidth=bandwidth, step=step, permute_seed=permute_seed)
     contrasts = methylation.compare_windows(windows, bandwidth=bandwidth, step=step, min_cells=min_cells)
     dmr = cut_lineage(methylation.diff_methylation(contrasts, threshold=threshold))
     hypo = regions.hypo_label(regions.dmr_threshold(dmr, max_raw_p=max_raw_p, min_abs_diff=min_abs_diff))
