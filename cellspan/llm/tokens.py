@@ -34,6 +34,17 @@ def byte_bpe_path() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+def _loose(word: str) -> bool:
+    """Whether a word is empty or has white space at an end."""
+    return not word or word.strip() != word
+
+
+def _take_heads(cut: list[list[str]]) -> tuple[list[str], set[str]]:
+    """The first word of each text, taken out, and the set of all the others."""
+    heads = [words.pop(0) for words in cut]
+    return heads, set().union(*cut)
+
+
 class TextEncoder:
     """Ids of texts as little-endian unsigned 32-bit bytes; strings of special tokens are ordinary text."""
 
@@ -100,13 +111,20 @@ class TextEncoder:
         if len(first) + len(later) > CACHE_WORDS:
             first.clear()
             later.clear()
-        cut = [_CUT.split(t) for t in texts]
-        heads = [words[0] for words in cut]
-        used: set[str] = set()
-        for words in cut:
-            del words[0]
-            used.update(words)
-        first_new, later_new = {w for w in heads if w not in first}, [w for w in used if w not in later]
+        # most texts may be cut at every space; the others show by a word that is empty or has white space at an end
+        cut = [t.split(" ") for t in texts]
+        heads, used = _take_heads(cut)
+        later_new, more = [w for w in used if w not in later], set()
+        odd = {w for w in later_new if not w or w.strip() != w}
+        again = [i for i, words in enumerate(cut) if words and (_loose(heads[i][-1:]) or odd and not odd.isdisjoint(words))]
+        if again:
+            for i in again:
+                cut[i] = _CUT.split(texts[i])
+            redone, more = _take_heads([cut[i] for i in again])
+            for i, head in zip(again, redone, strict=True):
+                heads[i] = head
+            later_new = list(set(later_new).difference(odd).union(w for w in more if w not in later))
+        first_new = {w for w in heads if w not in first}
         plain, lines, other = [], [], []
         for w in later_new:
             if not _BLANK.search(w):
@@ -129,6 +147,9 @@ class TextEncoder:
             for w in words:
                 if len(w) > CACHE_CHARS:
                     cache.pop(w, None)
+        for w in more:
+            if _loose(w):  # in the cache it would hide an odd cut
+                later.pop(w, None)
         return out
 
 
