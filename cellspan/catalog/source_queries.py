@@ -36,7 +36,7 @@ def _sample(path):
 
 @add("s1_read_allc", duck("select sample_id, chrom, pos, '+' strand, context, mc, cov from sites where cov not in (13, 17)", "sites"))
 def s1(t):
-    sites = SF.read_allc(t.spark, _write_allc(t), "*.gz")
+    sites = SF.read_allc(t.spark, _write_allc(t), "*.gz", on_error="skip")
     return sites.select(_sample("path").alias("sample_id"), "chrom", "pos", "strand", "context", "mc", "cov")
 
 
@@ -109,7 +109,8 @@ def s6(t):
     genes.orderBy("g").select(F.concat_ws("\t", F.concat(F.lit("id"), "g"), "gene", F.lit("Gene Expression")).alias("value")).write.text(f"{path}/features.tsv")
     cells.orderBy("c").select(F.col("cell_id").alias("value")).write.text(f"{path}/barcodes.tsv")
     t.rna.join(genes, "gene").join(cells, "cell_id").select(F.concat_ws(" ", "g", "c", "count").alias("value")).write.text(f"{path}/matrix.mtx")
-    head = spark.createDataFrame([("%%MatrixMarket matrix coordinate integer general\n0 0 0",)], "value string")
+    sizes = [df.agg(F.count("*")).scalar() for df in (genes, cells, t.rna)]
+    head = spark.range(1).select(F.concat(F.lit("%%MatrixMarket matrix coordinate integer general\n"), F.concat_ws(" ", *sizes)).alias("value"))
     head.coalesce(1).write.mode("append").text(f"{path}/matrix.mtx")
     return MF.read_10x_mtx(spark, path, "L")
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from cellspan.plans.sizes import broadcast_if_small
 from cellspan.sources.text import first_lines, read_lines, with_line_numbers
 
 
@@ -14,6 +15,8 @@ def read_10x_mtx(spark: SparkSession, folder: str, label: str, suffix: str = "")
     Indices are 1-based line numbers. Repeated gene symbols get ``-1``, ``-2``, ... from the second
     on; the cell id is ``label_barcode``. ``suffix`` is ``.gz`` for compressed files. Each name may also be
     a folder of parts, read as one file in name order; only a part with the format banner has a size line.
+    Sizes that differ from the declared ones raise here; an index beyond its table, or an entry that is not three
+    integers, stops the job.
     """
     tab = F.split("line", "\t")
     barcodes = with_line_numbers(read_lines(spark, f"{folder}/barcodes.tsv{suffix}"), "cell_no", across_files=True).select("cell_no", tab[0].alias("barcode"))
@@ -27,12 +30,30 @@ def read_10x_mtx(spark: SparkSession, folder: str, label: str, suffix: str = "")
     # the first line after the comments holds the sizes
     sizes = first_lines(body.join(banner, "path", "left_semi"))
     entries = body.join(sizes, "path", "left").where(F.col("__first").isNull() | (F.struct("__block", "__seq") != F.col("__first")))
-    entries = entries.select(word[0].cast("bigint").alias("gene_no"), word[1].cast("bigint").alias("cell_no"), word[2].cast("bigint").alias("count"))
-    return entries.join(genes, "gene_no").join(barcodes, "cell_no").select(
+    entries = entries.select(*[F.get(word, F.lit(i)).try_cast("bigint").alias(c) for i, c in enumerate(("gene_no", "cell_no", "count"))])
+    declared = body.join(sizes, "path").where(F.struct("__block", "__seq") == F.col("__first"))
+    _check_sizes(declared.select(*[word[i].try_cast("bigint").alias(c) for i, c in enumerate(_SIZES)]), genes, barcodes, entries)
+    named = entries.join(broadcast_if_small(genes), "gene_no", "left").join(broadcast_if_small(barcodes), "cell_no", "left")
+    stray = F.raise_error(F.concat_ws(" ", F.lit(f"{folder}: no feature or barcode for entry"), "gene_no", "cell_no"))
+    known = F.col("gene").isNotNull() & F.col("barcode").isNotNull() & F.col("count").isNotNull()
+    return named.where(F.when(known, F.lit(True)).otherwise(stray.cast("boolean"))).select(
         F.concat_ws("_", F.lit(label), "barcode").alias("cell_id"), F.lit(label).alias("sample_id"), "gene", "count"
     )
 
 
+_SIZES = ("features", "barcodes", "entries")
+
+
+def _check_sizes(declared: DataFrame, genes: DataFrame, barcodes: DataFrame, entries: DataFrame) -> None:
+    """Raise unless one size line is there and says what the three files hold."""
+    rows = declared.take(2)
+    if len(rows) != 1:
+        raise ValueError(f"one size line is needed, {len(rows)} or more found")
+    held = {c: df.count() for c, df in zip(_SIZES, (genes, barcodes, entries), strict=True)}
+    if held != rows[0].asDict():
+        raise ValueError(f"the matrix declares {rows[0].asDict()} and holds {held}")
+
+
 def save_matrix(counts: DataFrame, obs: DataFrame, var: DataFrame, path: str) -> None:
     """Write counts, cells and features as three parquet tables, then re-read and check them.
 

@@ -44,12 +44,32 @@ def allc_errors(lines: DataFrame) -> DataFrame:
     )
 
 
-def read_allc(spark: SparkSession, paths, glob: str | None = "*.gz") -> DataFrame:
-    """``path, chrom, pos, strand, context, mc, cov`` of every readable site line.
+def _checked(on_error: str) -> bool:
+    if on_error not in ("raise", "skip"):
+        raise ValueError(f"on_error is raise or skip, not {on_error!r}")
+    return on_error == "raise"
 
+
+def _refuse(bad: Column, problem: Column) -> Column:
+    """True for rows that are not ``bad``; the first bad one stops the job, in the scan that reads it."""
+    told = F.raise_error(F.concat_ws(": ", "path", problem, F.substring("line", 1, 200)))
+    return F.when(bad, told.cast("boolean")).otherwise(F.lit(True))
+
+
+def read_allc(spark: SparkSession, paths, glob: str | None = "*.gz", *, on_error: str = "raise") -> DataFrame:
+    """``path, chrom, pos, strand, context, mc, cov`` of every site line.
+
+    A malformed line stops the job; ``on_error="skip"`` leaves it out for :func:`allc_errors` to report. A header
+    is a line at the start of a file (in its first split) without a number in any of the three number columns.
     A gz file is one split; follow with :func:`write_sites` to spread and cluster the rows.
     """
-    return parse_allc(read_lines(spark, paths, glob)).select("path", "chrom", "pos", "strand", "context", "mc", "cov")
+    lines = read_lines(spark, paths, glob)
+    if _checked(on_error):
+        f = _fields(lines.where(is_content()))
+        header = F.expr("__n >= 6 and __block = 0 and pos is null and mc is null and cov is null")
+        bad = ~header & F.expr("__n < 6 or pos is null or mc is null or cov is null")
+        lines = f.where(_refuse(bad, F.when(F.col("__n") < 6, "fewer than 6 columns").otherwise("non-integer field"))).select(*lines.columns)
+    return parse_allc(lines).select("path", "chrom", "pos", "strand", "context", "mc", "cov")
 
 
 def write_sites(sites: DataFrame, path: str) -> None:
@@ -158,8 +178,13 @@ def _cov_fields(lines: DataFrame) -> DataFrame:
     return f.withColumn("problem", problem)
 
 
-def read_cov(spark: SparkSession, paths, glob: str | None = None) -> DataFrame:
-    return parse_cov(read_lines(spark, paths, glob))
+def read_cov(spark: SparkSession, paths, glob: str | None = None, *, on_error: str = "raise") -> DataFrame:
+    """Coverage rows; a bad line stops the job, or is left out for :func:`cov_errors` with ``on_error="skip"``."""
+    lines = read_lines(spark, paths, glob)
+    if not _checked(on_error):
+        return parse_cov(lines)
+    f = _cov_fields(lines)
+    return f.where(_refuse(F.col("problem").isNotNull(), F.col("problem"))).select("path", "chrom", "start", "end", "pct", "mc", "uc")
 
 
 def cov_lines(sites: DataFrame) -> DataFrame:

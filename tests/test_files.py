@@ -27,13 +27,34 @@ def put(path, text):
 def test_allc_lines(spark, tmp_path, rows):
     put(tmp_path / "a.allc.tsv.gz", "chrom\tpos\tstrand\tcontext\tmc\tcov\n# note\n\nchr1\t1\t+\tCGN\t1\t2\t1\nchr1\t2\t+\tCGN\t0\t2\n")
     put(tmp_path / "b.allc.tsv.gz", "chr1\t7\t+\tCGN\t1\t2\nchr1\tx\t+\tCGN\t1\t2\nchr1\t1\n")
-    got = SF.read_allc(spark, str(tmp_path))
+    got = SF.read_allc(spark, str(tmp_path), on_error="skip")
     assert rows(got, "chrom", "pos", "mc", "cov") == [("chr1", 1, 1, 2), ("chr1", 2, 0, 2), ("chr1", 7, 1, 2)]
     errors = SF.allc_errors(read_lines(spark, str(tmp_path), "*.gz"))
     # the header of the first file is no error, the bad line of the second is
     assert rows(errors, "problem") == [("fewer than 6 columns",), ("non-integer field",)]
 
 
+@pytest.mark.parametrize("line,told", [
+    ("chr1\tx\t+\tCGN\t1\t2", "non-integer field"), ("chr1\t1", "fewer than 6 columns"), ("chr1\t1\t+\tCGN\t1\t2.5", "non-integer field"),
+])
+def test_a_malformed_site_line_stops_the_job(spark, tmp_path, rows, line, told):
+    head = "chrom\tpos\tstrand\tcontext\tmc\tcov\n"
+    put(tmp_path / "a.gz", head + "chr1\t7\t+\tCGN\t1\t2\n")
+    assert rows(SF.read_allc(spark, str(tmp_path)), "pos", "cov") == [(7, 2)]
+    put(tmp_path / "b.gz", f"chr1\t7\t+\tCGN\t1\t2\n{line}\n")
+    with pytest.raises(Exception, match=told):
+        SF.read_allc(spark, str(tmp_path)).agg(F.sum("cov")).collect()
+    with pytest.raises(ValueError, match="raise or skip"):
+        SF.read_allc(spark, str(tmp_path), on_error="drop")
+
+
+def test_a_bad_coverage_line_stops_the_job(spark, tmp_path):
+    put(tmp_path / "a.cov", "chr1\t3\t3\t50.0\t1\t1\nchr1\t5\t4\t50.0\t1\t1\n")
+    with pytest.raises(Exception, match="invalid coordinate or count"):
+        SF.read_cov(spark, str(tmp_path)).count()
+    assert SF.read_cov(spark, str(tmp_path), on_error="skip").count() == 1
+
+
 @pytest.mark.parametrize("name,regex,replacement,prefix,expected", [
     ("AAACCTGAGAAACCAT-1.allc.tsv.gz", "", "", "lung-S11-m1", "lung-S11-m1_AAACCTGAGAAACCAT-1"),
     ("allc_lung-S11-m1_sc10.tsv.gz", r"allc_(?P<cell_id>.+)\.tsv\.gz$", "", "lung-S11-m1", "lung-S11-m1_sc10"),
@@ -82,6 +103,18 @@ def test_mtx(spark, tmp_path, rows):
     assert rows(MF.read_10x_mtx(spark, str(tmp_path), "S1"), "cell_id", "gene", "count") == [("S1_AAAC-1", "GENE1", 3), ("S1_AAAG-1", "GENE1-1", 4), ("S1_AAAG-1", "MT-X", 1)]
 
 
+@pytest.mark.parametrize("sizes,entry,told", [
+    ("3 2 2", "1 1 3", "declares"), ("2 2 1", "1 1 3", "declares"), ("3 2 1", "4 1 3", "no feature or barcode"),
+    ("3 2 1", "1 0 3", "no feature or barcode"), ("3 2 1", "1 1 x", "no feature or barcode"),
+])
+def test_mtx_that_contradicts_itself_is_refused(spark, tmp_path, sizes, entry, told):
+    put(tmp_path / "barcodes.tsv", "AAAC-1\nAAAG-1\n")
+    put(tmp_path / "features.tsv", "e1\tGENE1\tx\ne2\tMT-X\tx\ne3\tGENE1\tx\n")
+    put(tmp_path / "matrix.mtx", f"%%MatrixMarket matrix coordinate integer general\n{sizes}\n{entry}\n")
+    with pytest.raises(Exception, match=told):
+        MF.read_10x_mtx(spark, str(tmp_path), "S1").collect()
+
+
 def test_manifest(spark, tmp_path, rows):
     head = "\t".join(TB.SAMPLE_COLUMNS)
     path = put(tmp_path / "s.tsv", head + "\nS1\tcontrol\tB1\t1\t\t\t/a\t\t\t\t\nS1\tc\tB\tyes\t/r\t\t\t\tP\t\t\n-x\tc\tB\tno\t/r\t10x_mtx\t\t\t\t\t\n")
