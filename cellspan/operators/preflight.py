@@ -31,7 +31,7 @@ def sorted_site_check(lines: DataFrame) -> DataFrame:
     )
 
 
-def preflight_sites(lines: DataFrame, context: str = "CGN", mode: str = "quick", quick_records: int = 100) -> DataFrame:
+def preflight_sites(lines: DataFrame, context: str = "CGN", mode: str = "full", quick_records: int = 100) -> DataFrame:
     """One row per file: records checked, invalid ones, whether the context was seen, order breaks.
 
     ``quick`` reads on to record ``quick_records`` or to the first matching context, whichever is

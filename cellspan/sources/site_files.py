@@ -78,7 +78,7 @@ def write_sites(sites: DataFrame, path: str) -> None:
 
 
 def cell_name(name: Column | str, regex: str = "", replacement: str = "") -> Column:
-    """Cell name from a file name: a regex match (template, ``cell_id`` group or whole), else suffix removal."""
+    """Cell name from a file name: a regex match (template, ``cell_id`` group unless empty, or whole), else suffix removal."""
     text = F.col(name) if isinstance(name, str) else name
     if not regex:
         out = text
@@ -98,7 +98,9 @@ def cell_name(name: Column | str, regex: str = "", replacement: str = "") -> Col
             at = m.end()
         value = F.concat(*parts, F.lit(replacement[at:]))
     else:
-        value = F.regexp_extract(text, java, groups["cell_id"] if "cell_id" in groups else 0)
+        whole = F.regexp_extract(text, java, 0)
+        named = F.regexp_extract(text, java, groups["cell_id"]) if "cell_id" in groups else whole
+        value = F.when(named == "", whole).otherwise(named)
     miss = F.raise_error(F.concat(F.lit("file name does not match the cell-id pattern: "), text))
     return F.when(text.rlike(java), value).otherwise(miss)
 

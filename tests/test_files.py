@@ -60,6 +60,7 @@ def test_a_bad_coverage_line_stops_the_job(spark, tmp_path):
     ("allc_lung-S11-m1_sc10.tsv.gz", r"allc_(?P<cell_id>.+)\.tsv\.gz$", "", "lung-S11-m1", "lung-S11-m1_sc10"),
     ("x_allc.gz", "", "", "", "x"), ("x.allc.gz", "", "", "S", "S_x"), ("x.gz", "", "", "S", "S_x.gz"),
     ("ab-12.gz", r"(\w+)-(?P<n>\d+)", r"\g<n>.\1", "S", "S_12.ab"),
+    ("x-.gz", r"x-(?P<cell_id>\d*)", "", "S", "S_x-"),
 ])
 def test_cell_ids(spark, name, regex, replacement, prefix, expected):
     df = spark.createDataFrame([(name,)], "n string")
