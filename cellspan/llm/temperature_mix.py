@@ -3,13 +3,15 @@
 Source *i* with token share s_i gets weight s_i^a / sum_j s_j^a. The exponent *a* is the largest in [0, 1] whose
 weights reach a target entropy, or, where that would repeat some source too often, the smallest that keeps the
 limit. A source's budget is its weight times the token budget: whole epochs first, then the front of a pseudo-random
-permutation of its documents. The permutation is cut into blocks; block sums find the block where the budget ends,
+permutation of its documents. Without a given token budget no document is repeated: the sources above a common level
+are cut to it, and the level is the highest whose weights reach the target. The permutation is cut into blocks; block sums find the block where the budget ends,
 and only the rows of that block are put in order. Texts are never shuffled for it.
 """
 
 from __future__ import annotations
 
 import math
+import warnings
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -71,6 +73,30 @@ def solve_exponent(shares: list[float], *, entropy_share: float | None, max_repe
     return exponent
 
 
+def largest_budget(shares: list[float], entropy_share: float | None) -> tuple[list[float], float]:
+    """(weights, epochs) of the largest token budget that reaches the target entropy and repeats nothing.
+
+    Among all budgets of that entropy, the one that keeps most cuts the largest sources to one common level and
+    leaves the others whole. Natural shares that reach the target stay as they are, with all tokens.
+    """
+    live = [s for s in shares if s > 0]
+    if not live:
+        return [0.0] * len(shares), 1.0
+    at = lambda level: [min(s, level) for s in live]
+    level = max(live)
+    if entropy_share is not None:
+        target = entropy_share * math.log(len(live))
+        reached = lambda c: entropy([x / sum(at(c)) for x in at(c)]) >= target - 1e-12
+        if not reached(level):
+            low, high = min(live), level  # at the smallest share all are equal
+            for _ in range(60):
+                mid = (low + high) / 2
+                low, high = (mid, high) if reached(mid) else (low, mid)
+            level = low
+    epochs = math.fsum(at(level))
+    return [min(s, level) / epochs for s in shares], epochs
+
+
 def _place(seed: int, epoch: Column) -> Column:
     """A document's place in its source's permutation, as a fraction of 1; equal rows share it."""
     h = F.xxhash64(F.lit(seed), epoch.cast("bigint"), F.col("doc_id"), F.col("text"))
@@ -78,13 +104,14 @@ def _place(seed: int, epoch: Column) -> Column:
 
 
 def mix(
-    docs: DataFrame, *, entropy_share: float | None = None, max_repeats: float | None = None, epochs: float = 1.0,
+    docs: DataFrame, *, entropy_share: float | None = None, max_repeats: float | None = None, epochs: float | None = 1.0,
     tokens: Column | None = None, seed: int = 0, block_rows: int = 8192,
 ) -> DataFrame:
     """``docs`` in the mixture, with ``mix_tokens``, ``mix_weight``, ``mix_epoch``, ``mix_block`` and ``mix_order``.
 
     A document appears once per epoch it is in, perhaps not at all. Budgets are met to within the document at the
-    cut. Sorting by ``mix_order`` gives the mixed order: blocks of all sources interleaved at random, each permuted.
+    cut; without ``epochs`` the budget is the largest that reaches the target and repeats nothing. A target that the
+    limit on repeats keeps out of reach is warned of, with the entropy reached. Sorting by ``mix_order`` gives the mixed order: blocks of all sources interleaved at random, each permuted.
     Null source is a source; documents without tokens cost nothing and are in every epoch of their source, also when
     no document has tokens; repeated rows count each and stay together at a cut. An empty table gives an empty
     result. All columns pass through; columns named as outputs are replaced.
@@ -97,9 +124,15 @@ def mix(
     )
     total = sum(r["tokens"] for r in sources)
     shares = [r["tokens"] / total if total else 0.0 for r in sources]
-    exponent = solve_exponent(shares, entropy_share=entropy_share, max_repeats=max_repeats, epochs=epochs)
+    if epochs is None:
+        weights, epochs = largest_budget(shares, entropy_share)
+    else:
+        weights = weights_at(shares, solve_exponent(shares, entropy_share=entropy_share, max_repeats=max_repeats, epochs=epochs))
+    most = math.log(max(1, sum(w > 0 for w in weights)))
+    if entropy_share is not None and entropy(weights) < entropy_share * most - 1e-9:
+        warnings.warn(f"the mixture reaches an entropy share of {entropy(weights) / most:.4f}, not {entropy_share}", stacklevel=2)
     plan = []
-    for r, w in zip(sources, weights_at(shares, exponent), strict=True):
+    for r, w in zip(sources, weights, strict=True):
         repeats = w * epochs * total / r["tokens"] if r["tokens"] else 1.0
         full = math.floor(repeats + 1e-9)
         rest = max(0.0, repeats - full) * r["tokens"]

@@ -120,3 +120,31 @@ def test_mix_of_odd_documents(spark, odd_docs, no_docs):
     assert set(odd_docs.columns) <= set(out.columns) and temperature_mix.mix(no_docs).count() == 0
     same = temperature_mix.mix(odd_docs)  # natural shares, one epoch: every row once
     assert same.count() == odd_docs.count()
+
+
+def test_largest_budget_loses_nothing_it_need_not():
+    even = [0.06] * 10 + [0.04] * 10
+    assert temperature_mix.largest_budget(even, 0.97) == (pytest.approx(even), pytest.approx(1.0))
+    hot = [1 / 3] + [1 / 30] * 20
+    weights, epochs = temperature_mix.largest_budget(hot, 0.97)
+    assert temperature_mix.entropy(weights) == pytest.approx(0.97 * math.log(21), abs=1e-9)
+    assert [w * epochs for w in weights[1:]] == pytest.approx(hot[1:]) and weights[0] * epochs < hot[0]
+
+
+def test_pipeline_mixing_keeps_all_or_reaches_its_target(spark):
+    import corpus_pipeline
+
+    docs = table(spark, SF, "documents")
+    assert corpus_pipeline.mix_sources(spark, docs, SF).count() == docs.count()
+    rows = [(i, "one two three four five", "en", "hot" if i < 500 else f"s{i % 20}", 23) for i in range(1500)]
+    mixed = corpus_pipeline.mix_sources(spark, spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string, n_chars bigint"), SF)
+    kept = {r["source"]: r["count"] for r in mixed.groupBy("source").count().collect()}
+    share = [n / sum(kept.values()) for n in kept.values()]
+    assert temperature_mix.entropy(share) >= 0.97 * math.log(21) - 0.001
+    assert all(n == 50 for s, n in kept.items() if s != "hot")
+
+
+def test_mix_tells_a_missed_target(spark):
+    rows = [(i, "one two", "hot" if i < 90 else "rare") for i in range(100)]
+    with pytest.warns(UserWarning, match="entropy share of"):
+        temperature_mix.mix(spark.createDataFrame(rows, "doc_id bigint, text string, source string"), entropy_share=0.97, max_repeats=1.1)
