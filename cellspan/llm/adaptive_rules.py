@@ -2,8 +2,9 @@
 
 A sketch counts the values of one measure in buckets of relative width (quantiles are within 1 %). Sketches of
 equal buckets merge by adding counts, so they are built by partial aggregation, merged upwards from (language,
-source) to language to corpus, and read back as quantiles. A document is judged by the sketch of its own group, or
-by the next wider one while that holds too few documents; the thresholds reach the documents by a join.
+source) to language to corpus, and read back as quantiles. A group's sketch has its own documents and, as so many more,
+the distribution of the next wider group, so that small groups lean on wider ones without a switch. Fences lie beyond
+the outer tenths by a multiple of their distance from the median; the thresholds reach the documents by a join.
 """
 
 from __future__ import annotations
@@ -20,12 +21,13 @@ from pyspark.sql import functions as F
 from cellspan.llm.common import stored, text_slices
 from cellspan.plans.sizes import broadcast_if_small
 
-#: Per measure: the least distance between the middle half and a fence, as a spread, and whether low values fail.
+#: Per measure: the least distance of a tail from the median, and whether low values fail. It decides where nine tenths
+#: of a group have next to none of what is measured, as is usual of all but the first and ``upper_rate``.
 MEASURES = {
-    "mean_word": (0.6, True),
+    "mean_word": (0.1, True),
     "symbol_rate": (0.06, False),
     "mark_rate": (0.06, False),
-    "upper_rate": (0.06, False),
+    "upper_rate": (0.004, False),
     "dup_line_rate": (0.16, False),
     "repeat_rate": (0.14, False),
 }
@@ -114,43 +116,56 @@ def merge(sketches: DataFrame, keys: list[str]) -> DataFrame:
     return sketches.groupBy(*keys, "measure", "bucket").agg(F.sum("n").alias("n"))
 
 
-def quartiles(sketches: DataFrame, keys: list[str]) -> DataFrame:
-    """(keys, measure, docs, q1, q3) read from sketches; a group has at most a few thousand buckets."""
+def quantiles(sketches: DataFrame, keys: list[str], **at: float) -> DataFrame:
+    """(keys, measure, docs, one column per quantile) read from sketches; a group has at most a few thousand buckets."""
     group = Window.partitionBy(*keys, "measure")
     ranked = sketches.withColumn("upto", F.sum("n").over(group.orderBy("bucket"))).withColumn("docs", F.sum("n").over(group))
     value = F.when(F.col("bucket") == _ZERO, 0.0).otherwise(2 * F.pow(F.lit(GAMMA), F.col("bucket")) / (GAMMA + 1))
-    at = lambda q: F.min(F.when(F.col("upto") >= F.ceil(F.col("docs") * q), F.col("value")))
+    first = lambda q: F.min(F.when(F.col("upto") >= F.col("docs") * (q - 1e-9), F.col("value")))
     return ranked.withColumn("value", value).groupBy(*keys, "measure").agg(
-        F.max("docs").alias("docs"), at(0.25).alias("q1"), at(0.75).alias("q3")
+        F.max("docs").alias("docs"), *(first(q).alias(name) for name, q in at.items())
     )
 
 
+def quartiles(sketches: DataFrame, keys: list[str]) -> DataFrame:
+    """(keys, measure, docs, q1, q3)."""
+    return quantiles(sketches, keys, q1=0.25, q3=0.75)
+
+
+def shrunk(own: DataFrame, wider: DataFrame, groups: DataFrame, keys: list[str], wider_keys: list[str], weight: float) -> DataFrame:
+    """Sketches of all ``groups``: their own counts and the wider group's distribution, counted as ``weight`` documents."""
+    share = F.col("n") / F.sum("n").over(Window.partitionBy(*wider_keys, "measure"))
+    prior = wider.select(*(F.col(k).alias(f"__{k}") for k in wider_keys), "measure", "bucket", (share * weight).alias("n"))
+    prior = broadcast_if_small(prior, materialize=True)
+    joined = groups.crossJoin(prior)
+    for k in wider_keys:
+        joined = joined.where(F.col(k).eqNullSafe(F.col(f"__{k}")))
+    return merge(own.withColumn("n", F.col("n").cast("double")).unionByName(joined.select(*keys, "measure", "bucket", "n")), keys)
+
+
 def _fences(sketches: DataFrame, keys: list[str], fence: float) -> DataFrame:
-    """One row per group: docs and an array of (low, high) per measure, in the order of :data:`MEASURES`."""
-    table = quartiles(sketches, keys)
+    """One row per group: an array of (low, high) per measure, in the order of :data:`MEASURES`."""
+    table = quantiles(sketches, keys, low=0.1, mid=0.5, high=0.9)
     columns = []
     for m, (slack, two_sided) in MEASURES.items():
-        spread = F.greatest(F.col("q3") - F.col("q1"), F.lit(slack))
-        low = F.col("q1") - fence * spread if two_sided else F.lit(-1.0)
-        columns.append(F.max(F.when(F.col("measure") == m, F.struct(low.alias("low"), (F.col("q3") + fence * spread).alias("high")))).alias(m))
-    return table.groupBy(*keys).agg(F.max("docs").alias("docs"), *columns).select(*keys, "docs", F.struct(*MEASURES).alias("fences"))
+        beyond = lambda distance, slack=slack: fence * F.greatest(distance, F.lit(slack))
+        low = F.col("low") - beyond(F.col("mid") - F.col("low")) if two_sided else F.lit(-1.0)
+        high = F.col("high") + beyond(F.col("high") - F.col("mid"))
+        columns.append(F.max(F.when(F.col("measure") == m, F.struct(low.alias("low"), high.alias("high")))).alias(m))
+    return table.groupBy(*keys).agg(*columns).select(*keys, F.struct(*MEASURES).alias("fences"))
 
 
 def thresholds(rows: DataFrame, *, min_docs: int = 200, fence: float = 2.5) -> DataFrame:
-    """(lang, source, fences) for every group in ``rows``; rows that fail the base rules don't count."""
+    """(lang, source, fences) for every group in ``rows``; rows that fail the base rules don't count.
+
+    The wider group counts as ``min_docs`` documents, at least one.
+    """
     fine = stored(sketch(rows.where(~F.col("base_failed")), ["lang", "source"]), "sketches")
     by_lang = stored(merge(fine, ["lang"]), "language-sketches")
-    groups = rows.select("lang", "source").distinct()
-    a = _fences(fine, ["lang", "source"], fence).select(F.col("lang").alias("al"), F.col("source").alias("as"), F.col("docs").alias("ad"), F.col("fences").alias("af"))
-    b = _fences(by_lang, ["lang"], fence).select(F.col("lang").alias("bl"), F.col("docs").alias("bd"), F.col("fences").alias("bf"))
-    c = _fences(merge(by_lang, []), [], fence).select(F.col("fences").alias("cf"))
-    joined = (
-        groups.join(a, F.col("lang").eqNullSafe(F.col("al")) & F.col("source").eqNullSafe(F.col("as")), "left")
-        .join(b, F.col("lang").eqNullSafe(F.col("bl")), "left")
-        .withColumn("__all", F.lit(1)).join(F.broadcast(c.withColumn("__all", F.lit(1))), "__all", "left")  # one row
-    )
-    chosen = F.when(F.col("ad") >= min_docs, F.col("af")).when(F.col("bd") >= min_docs, F.col("bf")).otherwise(F.col("cf"))
-    return joined.select("lang", "source", chosen.alias("fences"))
+    groups = stored(rows.select("lang", "source").distinct(), "quality-groups")
+    weight = float(max(1, min_docs))
+    languages = shrunk(by_lang, merge(by_lang, []), groups.select("lang").distinct(), ["lang"], [], weight)
+    return _fences(shrunk(fine, languages, groups, ["lang", "source"], ["lang"], weight), ["lang", "source"], fence)
 
 
 def _inside(m: str) -> Column:
@@ -161,7 +176,7 @@ def judge(docs: DataFrame, *, min_docs: int = 200, fence: float = 2.5) -> DataFr
     """Counts, measures, ``base_failed``, ``failed_rules`` and ``kept`` of every row of ``docs``.
 
     Needs doc_id, text, lang, source; other columns are not read. Null text is empty and fails the base rules;
-    null language or source is a group of its own; a group too small for thresholds uses its language's, then the
+    null language or source is a group of its own; a small group's thresholds lean on its language's, and those on the
     corpus's. Equal rows count each. Where every document fails the base rules, none is kept.
     """
     rows = stored(counted(docs), "quality-counts")

@@ -148,3 +148,22 @@ def test_mix_tells_a_missed_target(spark):
     rows = [(i, "one two", "hot" if i < 90 else "rare") for i in range(100)]
     with pytest.warns(UserWarning, match="entropy share of"):
         temperature_mix.mix(spark.createDataFrame(rows, "doc_id bigint, text string, source string"), entropy_share=0.97, max_repeats=1.1)
+
+
+def test_fences_follow_each_group(spark):
+    rng = np.random.default_rng(3)
+    none = {m: 0.0 for m in adaptive_rules.MEASURES}
+    rows = [
+        ("en", source, False, *({**none, "mean_word": float(v), "upper_rate": float(u)}.values()))
+        for source, spread, n in (("narrow", 0.2, 2000), ("wide", 0.8, 2000), ("small", 0.8, 5))
+        for v, u in zip(rng.normal(5, spread, n), rng.normal(0.1, spread / 20, n), strict=True)
+    ] + [("en", "none", True, *none.values())]
+    docs = spark.createDataFrame(rows, "lang string, source string, base_failed boolean, " + ", ".join(f"{m} double" for m in none))
+    got = {r["source"]: r["fences"] for r in adaptive_rules.thresholds(docs).collect()}
+    width = lambda s, m: got[s][m]["high"] - (5 if m == "mean_word" else 0.1)
+    for m in ("mean_word", "upper_rate"):
+        assert width("wide", m) > 2 * width("narrow", m)
+        # a small group leans on its language, one without documents of its own has just that
+        assert width("small", m) == pytest.approx(width("none", m), rel=0.2)
+    for s in ("narrow", "wide"):
+        assert width(s, "mean_word") == pytest.approx(3.5 * 1.2816 * {"narrow": 0.2, "wide": 0.8}[s], rel=0.25)
