@@ -47,7 +47,7 @@ _CACHE_WORDS = 400_000
 def _shape(word: str) -> str:
     """Letters and digits as classes, runs shortened, other characters as they are."""
     out = []
-    for c in word[:40]:
+    for c in word:
         k = "A" if c.isupper() else "a" if c.isalpha() else "0" if c.isdigit() else c
         if len(out) < 2 or not (out[-1] == out[-2] == k):
             out.append(k)

@@ -167,3 +167,9 @@ def test_fences_follow_each_group(spark):
         assert width("small", m) == pytest.approx(width("none", m), rel=0.2)
     for s in ("narrow", "wide"):
         assert width(s, "mean_word") == pytest.approx(3.5 * 1.2816 * {"narrow": 0.2, "wide": 0.8}[s], rel=0.25)
+
+
+def test_shape_reads_the_whole_word():
+    start = "a1" * 2000
+    assert len({neighbour_quality._shape(start + end) for end in ("", "!", "?", "AA")}) == 4
+    assert neighbour_quality._shape("x" * 5000 + "0" * 5000) == "aa00"
