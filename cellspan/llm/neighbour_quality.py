@@ -96,15 +96,26 @@ def _sparse(s: Settings):
     return run
 
 
+def _lowest_hashes(labelled: DataFrame, per_class: int) -> DataFrame:
+    """(doc_id, label, h): of each label the ranges of hashes that hold its first ``per_class`` rows, by counts."""
+    marked = labelled.where("label is not null").select("doc_id", "label", F.xxhash64("doc_id").alias("h"))
+    marked = marked.withColumn("__range", F.shiftright("h", 52))
+    counts = marked.groupBy("label", "__range").agg(F.count(F.lit(1)).alias("n"))  # 4096 ranges of a label at most
+    upto = F.sum("n").over(Window.partitionBy("label").orderBy("__range"))
+    low = counts.withColumn("before", upto - F.col("n")).where(F.col("before") < per_class).select("label", "__range")
+    return marked.join(F.broadcast(low), ["label", "__range"], "left_semi").drop("__range")
+
+
 def fit(labelled: DataFrame, settings: Settings = Settings()) -> Model | None:
     """Fit on (doc_id, text, label); None when there is no labelled row.
 
     Takes at most ``per_class`` rows of each label, by hash of ``doc_id``. Rows with a null label are left out.
     """
     s = settings
+    bounded = _lowest_hashes(labelled, s.per_class)
     rank = F.row_number().over(Window.partitionBy("label").orderBy("h", "doc_id"))
     # ids only: the first per label, then their texts
-    chosen = labelled.where("label is not null").select("doc_id", "label", F.xxhash64("doc_id").alias("h")).withColumn("r", rank).where(F.col("r") <= s.per_class)
+    chosen = bounded.withColumn("r", rank).where(F.col("r") <= s.per_class)
     texts = labelled.join(F.broadcast(chosen.select("doc_id").distinct()), "doc_id", "left_semi").where("label is not null").dropDuplicates(["doc_id"])
     rows = bounded_rows(texts.select("doc_id", "text", F.col("label").cast("int")).orderBy("doc_id").mapInPandas(_sparse(s), "label int, terms array<int>, values array<float>"), 4 * s.per_class, "labelled sample")
     if not rows:

@@ -173,3 +173,12 @@ def test_shape_reads_the_whole_word():
     start = "a1" * 2000
     assert len({neighbour_quality._shape(start + end) for end in ("", "!", "?", "AA")}) == 4
     assert neighbour_quality._shape("x" * 5000 + "0" * 5000) == "aa00"
+
+
+def test_labelled_rows_are_bounded_before_they_are_ranked(spark):
+    rows = spark.range(60_000).select(F.col("id").alias("doc_id"), F.when(F.col("id") % 100 == 0, 0).when(F.col("id") % 100 != 1, 1).alias("label"))
+    got = [(r["label"], r["h"], r["doc_id"]) for r in neighbour_quality._lowest_hashes(rows, 700).collect()]
+    every = [(r["label"], r["h"], r["doc_id"]) for r in rows.where("label is not null").withColumn("h", F.xxhash64("doc_id")).collect()]
+    for label, most in ((0, 600), (1, 800)):
+        mine = sorted(x for x in got if x[0] == label)
+        assert mine[:700] == sorted(x for x in every if x[0] == label)[:700] and len(mine) <= most
