@@ -146,10 +146,11 @@ def _similar(inter: Column, a: Column, b: Column, percent: int) -> Column:
 
 def _confirmed(pairs: DataFrame, docs: DataFrame, sizes: DataFrame, words: int, percent: int) -> DataFrame:
     """The pairs (a, b) of ``pairs`` whose full sets are similar enough."""
-    size = lambda x: sizes.select(F.col("rep").alias(x), F.col("n_shingles").alias(f"n_{x}"))
+    # of the sets under one doc_id the smallest and the largest: a pair goes only if no sizes between them fit
+    size = lambda x: sizes.select(F.col("rep").alias(x), F.col("least").alias(f"least_{x}"), F.col("most").alias(f"most_{x}"))
     fit = stored(
         pairs.join(size("a"), "a").join(size("b"), "b")
-        .where(F.least("n_a", "n_b") * 100 >= F.greatest("n_a", "n_b") * percent),
+        .where((F.col("most_a") * 100 >= F.col("least_b") * percent) & (F.col("most_b") * 100 >= F.col("least_a") * percent)),
         "candidate-pairs",
     )
     wanted = fit.select(F.col("a").alias("id")).unionByName(fit.select(F.col("b").alias("id"))).distinct()
@@ -200,7 +201,7 @@ def near_copy_components(docs: DataFrame, *, shingle_words: int = 5, percent: in
     full = table.where("n_shingles > 0 and doc_id is not null")
     # equal sets have equal signatures: partial aggregation folds the copies before the shuffle
     reps = stored(full.groupBy("d1", "d2").agg(F.min("doc_id").alias("rep"), F.first("n_shingles").alias("n_shingles"), F.first("signature").alias("signature")), "representatives")
-    sizes = reps.groupBy("rep").agg(F.max("n_shingles").alias("n_shingles"))
+    sizes = full.groupBy(F.col("doc_id").alias("rep")).agg(F.min("n_shingles").alias("least"), F.max("n_shingles").alias("most"))
     keyed = (
         reps.select("rep", "signature").mapInPandas(_explode_keys, "rep bigint, keys array<bigint>")
         .select("rep", F.explode("keys").alias("key"))

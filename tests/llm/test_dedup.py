@@ -137,3 +137,10 @@ def test_spot_pairs_against_all_pairs(spark):
         if texts[a] and texts[b] and len(texts[a] & texts[b]) >= 0.7 * len(texts[a] | texts[b]):
             want.add((a, b))
     assert {(r["a"], r["b"]) for r in pairs.collect()} == want and len(cls) == docs.select(F.col("doc_id")).count()
+
+
+def test_a_link_through_the_shorter_text_of_an_id(spark):
+    words = [f"w{i}" for i in range(600)]
+    rows = [(1, " ".join(words[:40])), (1, " ".join(words[100:500])), (2, " ".join(words[:38])), (3, " ".join(words[100:490]))]
+    got = near_copies.near_copy_components(spark.createDataFrame(rows, "doc_id bigint, text string"), shingle_words=2).collect()
+    assert {r["doc_id"]: r["component_id"] for r in got} == plain_components(rows, 2, 80) == {1: 1, 2: 1, 3: 1}
