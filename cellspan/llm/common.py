@@ -12,6 +12,9 @@ from cellspan.plans.storage import scratch_path
 
 DOCUMENT_COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
+#: Space and the control characters from tab to carriage return.
+BLANKS = " \t\n\x0b\x0c\r"
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -46,3 +49,17 @@ def text_slices(frames: Iterator[pd.DataFrame], column: str = "text", budget: in
 def with_document_columns(df: DataFrame) -> DataFrame:
     """Only the columns of ``documents``, in their order."""
     return df.select(*DOCUMENT_COLUMNS)
+
+
+def join_by_counted_key(rows: DataFrame, looked_up: DataFrame, key: str, count: str, share: int = 64) -> DataFrame:
+    """Inner join of ``rows`` with the one row per ``key`` of ``looked_up``, which counts the rows of its key in ``count``.
+
+    Keys with more than one in ``share`` of all rows, fewer than ``share`` by arithmetic, are broadcast; the others are
+    joined by a shuffle in which no key is hot. Both inputs are read twice, so they should be stored.
+    """
+    total = looked_up.agg(F.sum(count)).first()[0] or 0
+    hot = F.col(count) * share > total
+    few = looked_up.where(hot)
+    common = rows.join(F.broadcast(few), key)
+    rest = rows.join(F.broadcast(few.select(key)), key, "left_anti").join(looked_up.where(~hot), key)
+    return common.unionByName(rest)

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from cellspan.llm import (
     adaptive_rules, arc_convert, best_fit, bit_planes, chat_tree, line_runs, near_copies, neighbour_quality, spot_signatures,
-    temperature_mix,
+    structure_repair, temperature_mix,
 )
 from cellspan.llm.common import table
 from cellspan.plans.storage import scratch_path
@@ -84,6 +84,13 @@ def op10_arc_convert(spark: SparkSession, sf_dir: str) -> DataFrame:
     return records.select("page_id", "payload_bytes", "payload_digest", F.col("warc_type").alias("record_type"), "refers_to")
 
 
+def op11_structure_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = structure_repair.damage(table(spark, sf_dir, "conversations"))
+    audits = structure_repair.audited(turns, dropped="dropped")
+    found = structure_repair.repaired_digests(turns, audits, dropped="dropped")
+    return found.select("conv_id", "gaps", "blank", "duplicate", "truncated", "illegal", "cost", "audit", "repaired_sha256")
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -93,7 +100,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     numbered = (
         op1_bit_planes, op2_adaptive_rules, op3_line_runs, op4_best_fit, op5_spot_signatures, op6_neighbour_quality,
-        op7_temperature_mix, op8_chat_tree, op9_near_copies, op10_arc_convert, pipeline,
+        op7_temperature_mix, op8_chat_tree, op9_near_copies, op10_arc_convert, op11_structure_repair, pipeline,
     )
     return {f.__name__: f for f in numbered}
 
@@ -158,5 +165,68 @@ from bits
 """
 
 
+def _crc32(value: str) -> str:
+    """DuckDB text for the CRC-32 of an ASCII string."""
+    letters = f"list_transform(range(1, length({value}) + 1), lambda i: cast(ascii(substr({value}, i, 1)) as bigint))"
+    shifted = "list_reduce(list_concat([xor(c, b)], list_transform(range(8), lambda z: cast(0 as bigint))), lambda x, y: xor(x >> 1, (x & 1) * 3988292384))"
+    return f"xor(list_reduce(list_concat([cast(4294967295 as bigint)], {letters}), lambda c, b: {shifted}), 4294967295)"
+
+
+_REPAIR = r"""
+with recursive spaced as (
+  select conv_id, turn, coalesce(role, ' ') role, coalesce(text, ' ') text,
+    coalesce(cast(conv_id as varchar), ' ') || ':' || coalesce(cast(turn as varchar), ' ') spot from conversations),
+hit as (select *, CRC % 20 h from spaced),
+damaged as (
+  select conv_id, turn, case when h = 4 then 'user' else role end role,
+    case when h = 1 then '' when h = 2 then regexp_replace(text, '[.!?]', '', 'g') else text end text
+  from (select *, unnest(range(case when h = 3 then 2 else 1 end)) copy from hit) where h <> 0),
+placed as (
+  select *, row_number() over (partition by conv_id order by turn nulls first, role, md5(text)) pos,
+    rtrim(text, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) bare from damaged),
+faults as (
+  select *, case when bare = '' then 'blank' when row_number() over (partition by conv_id, role, text order by pos) > 1 then 'duplicate'
+      when right(bare, 1) not in ('.', '!', '?') then 'truncated' else '' end fault,
+    left(role, 1) initial, lag(left(role, 1)) over (partition by conv_id order by pos) before from placed),
+counts as (
+  select conv_id, count(*) n, coalesce(max(turn) - min(turn) + 1 - count(distinct turn), 0) gaps, count(*) filter (where fault = 'blank') blank,
+    count(*) filter (where fault = 'duplicate') duplicate, count(*) filter (where fault = 'truncated') truncated,
+    count(*) filter (where before is not null and before || initial not in ('su', 'ua', 'au')) illegal from faults group by conv_id),
+best as (
+  select conv_id, n + 1 pos, {'c': 0, 'a': '', 'r': ''} f0, {'c': 6, 'a': 'II', 'r': chr(10) || 'user:' || chr(10) || 'assistant:'} f1,
+    {'c': 3, 'a': 'I', 'r': chr(10) || 'assistant:'} f2, {'c': 0, 'a': '', 'r': ''} f3 from counts
+  union all
+  select conv_id, pos, list_min([g0, {'c': 3 + f2.c, 'a': 'I' || f2.a, 'r': chr(10) || 'user:' || f2.r}]),
+    list_min([g1, {'c': 3 + f2.c, 'a': 'I' || f2.a, 'r': chr(10) || 'user:' || f2.r}]), f2,
+    list_min([g3, {'c': 3 + f2.c, 'a': 'I' || f2.a, 'r': chr(10) || 'user:' || f2.r}])
+  from (
+    select *, list_min([g2, {'c': 3 + g3.c, 'a': 'I' || g3.a, 'r': chr(10) || 'assistant:' || g3.r}]) f2 from (
+      select f.conv_id, f.pos,
+        list_min([GO(f0), case when stays and initial = 's' then KEEP(f1) when stays and initial = 'u' then KEEP(f2) end, case when stays then REROLE(f2, 'user:') end]) g0,
+        list_min([GO(f1), case when stays and initial = 'u' then KEEP(f2) end, case when stays then REROLE(f2, 'user:') end]) g1,
+        list_min([GO(f2), case when stays and initial = 'a' then KEEP(f3) end, case when stays then REROLE(f3, 'assistant:') end]) g2,
+        list_min([GO(f3), case when stays and initial = 'u' then KEEP(f2) end, case when stays then REROLE(f2, 'user:') end]) g3
+      from best join (
+        select *, fault not in ('blank', 'duplicate') stays, case when fault = 'truncated' then 3 else 0 end late from faults) f
+      on f.conv_id is not distinct from best.conv_id and f.pos = best.pos - 1))),
+plans as (select conv_id, f0 from best where pos = 1)
+select o.conv_id, coalesce(gaps, 0) gaps, coalesce(blank, 0) blank, coalesce(duplicate, 0) duplicate, coalesce(truncated, 0) truncated,
+  coalesce(illegal, 0) illegal, cast(coalesce(f0.c, 0) as bigint) "cost", coalesce(f0.a, '') audit, sha256(coalesce(substr(f0.r, 2), '')) repaired_sha256
+from (select distinct conv_id from conversations) o left join counts c on o.conv_id is not distinct from c.conv_id
+  left join plans p on o.conv_id is not distinct from p.conv_id
+"""
+
+
+def _repair_sql() -> str:
+    text = _REPAIR.replace("CRC", _crc32("spot"))
+    for x in ("f0", "f1", "f2", "f3"):
+        text = text.replace(f"GO({x})", f"{{'c': 4 + {x}.c, 'a': 'D' || {x}.a, 'r': {x}.r}}")
+        text = text.replace(f"KEEP({x})", f"{{'c': late + {x}.c, 'a': 'K' || {x}.a, 'r': chr(10) || role || ':' || text || {x}.r}}")
+        for role in ("user:", "assistant:"):
+            text = text.replace(f"REROLE({x}, '{role}')", f"{{'c': 3 + late + {x}.c, 'a': 'R' || {x}.a, 'r': chr(10) || '{role}' || text || {x}.r}}")
+    return text
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op3_line_runs": _LINES, "op8_chat_tree": _CHAT, "op9_near_copies": _NEAR, "op10_arc_convert": _ARC}
+    return {"op3_line_runs": _LINES, "op8_chat_tree": _CHAT, "op9_near_copies": _NEAR, "op10_arc_convert": _ARC,
+            "op11_structure_repair": _repair_sql()}
