@@ -8,10 +8,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cellspan.llm import (
-    adaptive_rules, arc_convert, best_fit, bit_planes, chat_tree, line_runs, near_copies, neighbour_quality, spot_signatures,
-    structure_repair, temperature_mix,
+    adaptive_rules, arc_convert, best_fit, bit_planes, chat_tree, line_runs, near_copies, neighbour_quality, prefix_table,
+    spot_signatures, structure_repair, temperature_mix,
 )
-from cellspan.llm.common import table
+from cellspan.llm.common import stored, table
 from cellspan.plans.storage import scratch_path
 
 
@@ -91,6 +91,11 @@ def op11_structure_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("conv_id", "gaps", "blank", "duplicate", "truncated", "illegal", "cost", "audit", "repaired_sha256")
 
 
+def op13_prefix_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = stored(prefix_table.turn_rows(table(spark, sf_dir, "conversations")), "turn-digests")
+    return prefix_table.prefix_nodes(prefix_table.rebuilt(turns)).drop("node")
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -100,7 +105,8 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     numbered = (
         op1_bit_planes, op2_adaptive_rules, op3_line_runs, op4_best_fit, op5_spot_signatures, op6_neighbour_quality,
-        op7_temperature_mix, op8_chat_tree, op9_near_copies, op10_arc_convert, op11_structure_repair, pipeline,
+        op7_temperature_mix, op8_chat_tree, op9_near_copies, op10_arc_convert, op11_structure_repair,
+        op13_prefix_table, pipeline,
     )
     return {f.__name__: f for f in numbered}
 
@@ -227,6 +233,32 @@ def _repair_sql() -> str:
     return text
 
 
+_PREFIXES = r"""
+with own as (
+  select conv_id, row_number() over (partition by conv_id order by turn nulls first, md5(octet_length(encode(coalesce(role, ''))) || ':' || coalesce(role, '') || coalesce(text, ''))) pos,
+    coalesce(role, '') role, coalesce(text, '') text from conversations where conv_id is not null),
+ids as (select *, CRC % 9 h from (select distinct conv_id, cast(conv_id as varchar) spot from conversations where conv_id is not null)),
+built as (
+  select o.conv_id, pos, role, text from own o join ids on o.conv_id = ids.conv_id where pos > h
+  union all
+  select ids.conv_id, pos, role, text from own o join ids on o.conv_id = ids.conv_id - ids.conv_id % 5 where pos <= h
+  union all select conv_id, 0, null, null from ids),
+placed as (select *, row_number() over (partition by conv_id order by pos) - 1 depth from built),
+paths as (
+  select conv_id, depth, coalesce(octet_length(encode(text)), 0) size, max(depth) over (partition by conv_id) last,
+    coalesce(string_agg(length(role) || ':' || length(text) || ':' || role || text, '' order by depth) over (partition by conv_id order by depth), '') node from placed),
+nodes as (select depth, node, min(conv_id) conv_id, count(*) n_convs, any_value(size) size,
+    sha256(coalesce(string_agg(cast(conv_id as varchar), ',' order by conv_id) filter (where depth = last), '')) ends_sha256, max(last) = depth leaf
+  from paths group by depth, node),
+above as (select distinct a.depth, a.node, b.depth below_depth, b.node below from paths a join paths b on a.conv_id = b.conv_id and a.depth <= b.depth),
+sums as (select a.depth, a.node, count(*) filter (where b.leaf) n_leaves, count(*) filter (where b.depth = a.depth + 1) n_children, sum((b.n_convs - 1) * b.size) saved
+  from above a join nodes b on a.below_depth = b.depth and a.below = b.node group by a.depth, a.node),
+parents as (select distinct b.depth, b.node, n.conv_id from paths a join paths b on a.conv_id = b.conv_id and a.depth = b.depth - 1 join nodes n on n.depth = a.depth and n.node = a.node)
+select n.conv_id, n.depth, p.conv_id parent_conv_id, n_convs, n_children, n_leaves, cast(saved as bigint) saved_tokens, ends_sha256
+from nodes n join sums s on n.depth = s.depth and n.node = s.node left join parents p on p.depth = n.depth and p.node = n.node
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {"op3_line_runs": _LINES, "op8_chat_tree": _CHAT, "op9_near_copies": _NEAR, "op10_arc_convert": _ARC,
-            "op11_structure_repair": _repair_sql()}
+            "op11_structure_repair": _repair_sql(), "op13_prefix_table": _PREFIXES.replace("CRC", _crc32("spot"))}
