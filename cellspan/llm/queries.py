@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cellspan.llm import (
-    adaptive_rules, arc_convert, best_fit, bit_planes, chat_tree, line_runs, near_copies, neighbour_quality, prefix_table,
+    adaptive_rules, arc_convert, best_fit, bit_planes, chat_tree, cover_tree, line_runs, near_copies, neighbour_quality, prefix_table,
     spot_signatures, structure_repair, temperature_mix,
 )
 from cellspan.llm.common import stored, table
@@ -91,6 +91,10 @@ def op11_structure_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("conv_id", "gaps", "blank", "duplicate", "truncated", "illegal", "cost", "audit", "repaired_sha256")
 
 
+def op12_cover_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cover_tree.near_vectors(table(spark, sf_dir, "embeddings"), threshold=0.93)
+
+
 def op13_prefix_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = stored(prefix_table.turn_rows(table(spark, sf_dir, "conversations")), "turn-digests")
     return prefix_table.prefix_nodes(prefix_table.rebuilt(turns)).drop("node")
@@ -106,7 +110,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     numbered = (
         op1_bit_planes, op2_adaptive_rules, op3_line_runs, op4_best_fit, op5_spot_signatures, op6_neighbour_quality,
         op7_temperature_mix, op8_chat_tree, op9_near_copies, op10_arc_convert, op11_structure_repair,
-        op13_prefix_table, pipeline,
+        op12_cover_tree, op13_prefix_table, pipeline,
     )
     return {f.__name__: f for f in numbered}
 
@@ -259,6 +263,22 @@ from nodes n join sums s on n.depth = s.depth and n.node = s.node left join pare
 """
 
 
+_VECTORS = r"""
+with recursive usable as (
+  select vec_id, label, cast(embedding as double[]) v from embeddings
+  where vec_id is not null and label is not null and len(embedding) > 0 and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+    and len(list_filter(embedding, lambda x: x <> 0)) > 0),
+links as (
+  select a.vec_id a, b.vec_id b from usable a join usable b on a.label = b.label and a.vec_id <> b.vec_id and len(a.v) = len(b.v)
+  where list_cosine_similarity(a.v, b.v) >= 0.93),
+reach as (select vec_id, vec_id r from embeddings union select reach.vec_id, links.b from reach join links on reach.r = links.a),
+counts as (select a, count(*) n from links group by a)
+select e.vec_id, coalesce(any_value(n), 0) n_links, min(r) component_id, min(r) = e.vec_id kept
+from embeddings e left join reach on e.vec_id = reach.vec_id left join counts on counts.a = e.vec_id group by e.vec_id
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {"op3_line_runs": _LINES, "op8_chat_tree": _CHAT, "op9_near_copies": _NEAR, "op10_arc_convert": _ARC,
-            "op11_structure_repair": _repair_sql(), "op13_prefix_table": _PREFIXES.replace("CRC", _crc32("spot"))}
+            "op11_structure_repair": _repair_sql(), "op12_cover_tree": _VECTORS,
+            "op13_prefix_table": _PREFIXES.replace("CRC", _crc32("spot"))}
