@@ -7,6 +7,7 @@ from cellspan.functions import columns as C
 from cellspan.operators import annotation as AN
 from cellspan.operators import cells as K
 from cellspan.operators import quality as Q
+from cellspan.plans.guards import checked
 from cellspan.operators import sites as S
 
 add = registry.add
@@ -55,6 +56,13 @@ def j2(t):
     return kept.groupBy("cell_id").agg(F.count("*").alias("n"), F.sum("cov").alias("cov"))
 
 
+@add("j2_guarded_restriction", duck("""
+select cell_id, count(*) n, cast(sum(cov) as bigint) cov from sites where cell_id in (select cell_id from cells where cell_type <> 'BUILDING') group by 1""", "cells", "sites"))
+def j2_guarded(t):
+    kept, guard = K.guarded_restriction(t.sites, t.cells.where("cell_type <> 'BUILDING'"))
+    return checked(kept.groupBy("cell_id").agg(F.count("*").alias("n"), F.sum("cov").alias("cov")), guard)
+
+
 @add("j2_restriction_problems", duck("select cell_id, 'missing' problem from annotation where cell_id not in (select cell_id from sites where mc = cov)", "annotation", "sites"))
 def j2_problems(t):
     return K.restriction_problems(t.sites.where("mc = cov"), t.annotation)
@@ -151,6 +159,12 @@ def j9(t):
     return K.label_pairs(_annotated(t))
 
 
+@add("j9_guarded_pairs_pooled", duck("select * from pairs", "cells", "annotation", ctes=_PAIRS.format(s="'pooled'")))
+def j9_guarded(t):
+    pairs, guard = K.guarded_pairs(_annotated(t), pool_as="pooled")
+    return checked(pairs, guard)
+
+
 @add("j9_label_pairs_pooled", duck("select * from pairs", "cells", "annotation", ctes=_PAIRS.format(s="'pooled'")))
 def j9_pooled(t):
     return K.label_pairs(_annotated(t), pool_as="pooled")
@@ -294,6 +308,14 @@ def u1(t):
     return K.union_samples([t.rna.where("sample_id = 'S0'").select("cell_id", "gene", "count"), t.sites.where("sample_id <> 'S0'").select("cell_id", "cov")])
 
 
+@add("u1_guarded_union", duck("""
+select cell_id, count(*) n, cast(sum("count") as bigint) total from rna group by 1""", "rna"))
+def u1_guarded(t):
+    frames = [t.rna.where("sample_id = 'S0'"), t.rna.where("sample_id <> 'S0'")]
+    guard = K.guarded_union(frames, lambda df: df.groupBy("cell_id").agg(F.count("*").alias("n"), F.sum("count").alias("total")))
+    return checked(guard.watched, guard)
+
+
 @add("q2_expect_unique", duck("""select cell_type, count(*) copies from annotation group by 1 having count(*) > 1""", "annotation"))
 def q2(t):
     return Q.expect_unique(t.annotation, "cell_type")

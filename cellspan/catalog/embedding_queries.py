@@ -13,6 +13,7 @@ from cellspan.operators import neighbors as N
 from cellspan.operators import quality as Q
 from cellspan.catalog.interval_queries import _COUNTS, region_counts, stored_counts
 from cellspan.catalog.methylation_queries import scores
+from cellspan.plans.guards import checked
 
 add = registry.add
 
@@ -135,6 +136,12 @@ def p9(t):
     return MX.missingness_filter(stored_counts(t), t.cells, min_region_fraction=0.012, min_cell_regions=12)
 
 
+@add("p9_guarded_missingness", duck("select * from counts where feature_id in (select feature_id from kr) and cell_id in (select cell_id from kc)", "cells", "cg", "regions", ctes=_MISS))
+def p9_guarded(t):
+    kept, guards = MX.guarded_missingness(stored_counts(t), t.cells, min_region_fraction=0.012, min_cell_regions=12)
+    return checked(kept, *guards)
+
+
 @add("p9_region_missingness_qc", duck("""
 select feature_id, round(coalesce(n, 0)/(select n from nc), 6) observed_fraction, coalesce(n, 0)/(select n from nc) >= 0.012 pass from regions left join (select feature_id, count(*) n from counts group by 1) using (feature_id)""", "cells", "cg", "regions", ctes=_MISS))
 def p9_regions(t):

@@ -6,6 +6,7 @@ from cellspan.catalog.base import duck, registry
 from cellspan.operators import features as FT
 from cellspan.operators import intervals as I
 from cellspan.operators import sites as S
+from cellspan.plans.guards import checked
 from cellspan.plans.storage import cut_lineage
 
 add = registry.add
@@ -276,6 +277,17 @@ def j8(t):
     return FT.combine_features(vmr, dmr)
 
 
+@add("j8_combined_counts", duck("""
+select s.cell_id, f.feature_id, cast(sum(mc) as bigint) mc, cast(sum(cov) as bigint) cov from cg s join (select chrom, "start", "end", feature_id from vmr union all select chrom, "start", "end", feature_id from kept) f
+ on s.chrom = f.chrom and s.pos - 1 >= f."start" and s.pos - 1 < f."end" group by 1, 2 having sum(cov) > 0""", "cells", "cg", "regions", "dmr", "chrom_order", ctes=_COMBINE))
+def j8_counts(t):
+    vmr, dmr = _vmr_and_dmr(t)
+    cg = S.context_filter(t.sites)
+    counts = [I.count_over_regions(cg, f.select("chrom", "start", "end", "feature_id")) for f in (vmr, dmr)]
+    _, both, guards = FT.combine_inputs(vmr, dmr, *counts, t.cells, t.cells)
+    return checked(both, *guards)
+
+
 @add("a20_model_input_summary", duck("""
 select (select count(*) from vmr) vmr_features, (select count(*) from pooled) source_dmrs, (select count(*) from pooled) - (select count(*) from kept) dmrs_overlapping_removed,
  (select count(*) from kept) dmrs_added, 30 + (select count(*) from kept) combined_features""", "cells", "cg", "regions", "dmr", "chrom_order", ctes=_COMBINE))

@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from cellspan.catalog.base import duck, registry
 from cellspan.operators import sites as S
+from cellspan.plans.guards import checked
 
 add = registry.add
 
@@ -73,6 +74,15 @@ def a1(t):
     return qc.withColumn("mcg", F.round("mcg", 6)).withColumn("unmixed_fraction", F.round("unmixed_fraction", 6))
 
 
+@add("a1_guarded_cell_site_qc", duck("""
+select cell_id, count(*) covered_sites, cast(sum(mc) as bigint) methylated_reads, cast(sum(cov) as bigint) total_reads from sites
+where pos >= 1 and mc >= 0 and cov > 0 and mc <= cov group by 1""", "sites"))
+def a1_guarded(t):
+    valid = S.guarded_sites(t.sites, "convert")
+    qc = S.guarded_cell_site_qc(valid.watched, t.cells)
+    return checked(qc.watched, valid, qc).select("cell_id", "covered_sites", "methylated_reads", "total_reads")
+
+
 @add("a1_cells_without_sites", duck("""
 select 'S' || cast(c_nationkey % 5 as varchar) || '_' || cast(c_custkey as varchar) cell_id from customer
 where 'S' || cast(c_nationkey % 5 as varchar) || '_' || cast(c_custkey as varchar) not in (select cell_id from cg where mc = cov)""", "cg"))

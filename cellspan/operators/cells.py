@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from cellspan.functions.columns import (
     STRICT_PLACEHOLDERS, is_placeholder, is_truthy, safe_ratio, sanitize_label,
 )
+from cellspan.plans.guards import Guard, ListedIds
 from cellspan.plans.sizes import broadcast_if_small
 
 
@@ -81,6 +82,11 @@ def selection_summary(selection: DataFrame) -> DataFrame:
     )
 
 
+def guarded_summary(selection: DataFrame) -> Guard:
+    """:func:`selection_summary`; a sample without a selected cell is an error."""
+    return Guard(selection_summary(selection), "cell selection", {"no cell selected": F.col("selected_cells") == 0}, ["sample_id", "discovered_cells"])
+
+
 def exclusion_counts(selection: DataFrame) -> DataFrame:
     return excluded(selection).groupBy("reason").agg(F.count("*").alias("cells"))
 
@@ -90,6 +96,13 @@ def restrict_to_cells(df: DataFrame, ids: DataFrame) -> DataFrame:
     return df.join(broadcast_if_small(ids.select("cell_id").distinct()), "cell_id", "left_semi")
 
 
+def guarded_restriction(df: DataFrame, ids: DataFrame) -> tuple[DataFrame, ListedIds]:
+    """:func:`restrict_to_cells` and the guard that listed cells are unique and all occur in ``df``."""
+    listed = ListedIds(df, ids.select("cell_id"), "cell_id", "cell list")
+    kept = df.join(broadcast_if_small(listed.ids.select("cell_id", "__number")), "cell_id")
+    return listed.watch(kept), listed
+
+
 def restriction_problems(df: DataFrame, ids: DataFrame) -> DataFrame:
     """Listed cells that are repeated in the list or absent from ``df``."""
     counted = ids.groupBy("cell_id").agg(F.count("*").alias("copies"))
@@ -139,6 +152,10 @@ def label_pairs(cells: DataFrame, pool_as: str | None = None, label: str = "cell
         usable.select(sample.alias("sample_id"), F.trim(label).alias("label"), "cell_id").distinct()
         .groupBy("sample_id", "label").agg(F.count("*").alias("n"))
     )
+    return _paired(counts)
+
+
+def _paired(counts: DataFrame) -> DataFrame:
     a = counts.select("sample_id", F.col("label").alias("cell_type_a"), F.col("n").alias("group_a_cells"))
     b = counts.select("sample_id", F.col("label").alias("cell_type_b"), F.col("n").alias("group_b_cells"))
     # the grouped label table is tiny: one row per (sample, cell type)
@@ -148,6 +165,25 @@ def label_pairs(cells: DataFrame, pool_as: str | None = None, label: str = "cell
     )
 
 
+def guarded_pairs(cells: DataFrame, pool_as: str | None = None, label: str = "cell_type") -> tuple[DataFrame, Guard]:
+    """:func:`label_pairs`, and the guard that every sample has two labels or more to compare.
+
+    Cells without a usable label still count as their sample, so a sample that lost all its labels is told as well.
+    """
+    sample = F.lit(pool_as) if pool_as else F.col("sample_id")
+    usable = F.col(label).isNotNull() & ~is_placeholder(F.trim(F.col(label)), "strict") & (F.trim(label) != "")
+    # one grouping of the cells serves the guard and both sides of the pairs
+    counts = (
+        cells.select(sample.alias("sample_id"), F.when(usable, F.trim(label)).alias("label"), "cell_id").distinct()
+        .groupBy("sample_id", "label").agg(F.count("*").alias("n"))
+    )
+    samples = counts.groupBy("sample_id").agg(F.count("label").alias("labels"))
+    guard = Guard(samples, "label pairs", {"fewer than two labels": F.col("labels") < 2}, ["sample_id", "labels"])
+    # an outer join: the guard's side is never skipped, even when no pair is left
+    pairs = guard.watched.select("sample_id").join(_paired(counts.where("label is not null")), "sample_id", "left").where("comparison is not null")
+    return pairs, guard
+
+
 def samples_with_one_label(cells: DataFrame, label: str = "cell_type") -> DataFrame:
     """Samples that cannot be compared: fewer than two usable labels."""
     usable = cells.where(F.col(label).isNotNull() & ~is_placeholder(F.trim(F.col(label)), "strict"))
@@ -262,3 +298,19 @@ def union_samples(frames: Sequence[DataFrame]) -> DataFrame:
     for f in frames[1:]:
         out = out.unionByName(f, allowMissingColumns=True)
     return out
+
+
+def guarded_union(frames: Sequence[DataFrame], summarise: Callable[[DataFrame], DataFrame]) -> Guard:
+    """``summarise`` of the stacked frames, one row per ``cell_id``; a cell that two frames bring is an error.
+
+    The frame of a row rides along in the grouping that ``summarise`` makes, a struct key, so the frames are read once: a
+    cell of two frames comes out of it twice.
+    """
+    stacked = union_samples([f.withColumn("cell_id", F.struct(F.col("cell_id").alias("id"), F.lit(i).alias("frame"))) for i, f in enumerate(frames)])
+    per_frame = summarise(stacked)
+    others = [c for c in per_frame.columns if c != "cell_id"]
+    copies = F.count(F.lit(1)).over(Window.partitionBy("cell_id.id"))
+    rows = per_frame.withColumn("__frames", copies).select(F.col("cell_id.id").alias("cell_id"), *others, "__frames")
+    guard = Guard(rows, "stacked samples", {"a cell of several samples": F.col("__frames") > 1}, ["cell_id"])
+    guard.watched = guard.watched.drop("__frames")
+    return guard

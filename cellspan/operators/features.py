@@ -10,8 +10,10 @@ from pyspark.sql import functions as F
 from cellspan.functions.columns import safe_ratio
 from cellspan.operators.intervals import non_overlapping
 from cellspan.operators.quality import require_empty
+from cellspan.plans.guards import Guard
 from cellspan.plans.prefix import global_row_number
 from cellspan.plans.quantiles import exact_quantiles
+from cellspan.plans.sizes import broadcast_if_small
 from cellspan.plans.storage import cut_lineage
 
 
@@ -122,6 +124,30 @@ def combine_features(vmr: DataFrame, dmr: DataFrame) -> DataFrame:
     return global_row_number(both, order, "selection_rank").drop("__o", "__r")
 
 
+def combine_inputs(
+    vmr: DataFrame, dmr: DataFrame, vmr_counts: DataFrame, dmr_counts: DataFrame, vmr_cells: DataFrame, dmr_cells: DataFrame
+) -> tuple[DataFrame, DataFrame, list[Guard]]:
+    """Features (as :func:`combine_features`) and counts of both sources, and the guards of a sound combination.
+
+    Both sources have the same cells, no feature id is in both, at least one DMR overlaps no VMR, and methylated reads
+    don't exceed reads. The feature and cell rules are counted on the small tables; the counts are read once.
+    """
+    combined = combine_features(vmr, dmr)
+    ids = combined.groupBy("feature_id").agg(F.count("*").alias("copies"))
+    disjoint = Guard(ids, "combined features", {"a feature id of both sources": F.col("copies") > 1}, ["feature_id"])
+    added = Guard(combined.where("feature_source = 'pooled_DMR'"), "DMRs that overlap no VMR", {}, [], at_least=1)
+    side = lambda df, name: df.select("cell_id").distinct().withColumn(name, F.lit(True))
+    both = side(vmr_cells, "in_vmr").join(side(dmr_cells, "in_dmr"), "cell_id", "full_outer")
+    cells = Guard(both, "combined cells", {"a cell of one source only": F.col("in_vmr").isNull() | F.col("in_dmr").isNull()}, ["cell_id", "in_vmr", "in_dmr"])
+    var = combined.where("feature_source = 'VMR'").unionByName(added.watched).join(disjoint.watched.select("feature_id"), "feature_id")
+    tall = vmr_counts.select("cell_id", "feature_id", "mc", "cov").unionByName(dmr_counts.select("cell_id", "feature_id", "mc", "cov"))
+    sound = Guard(tall, "combined counts", {"mc above cov": F.col("mc") > F.col("cov"), "a negative count": (F.col("mc") < 0) | (F.col("cov") < 0)},
+                  ["cell_id", "feature_id", "mc", "cov"])
+    kept = sound.watched.join(broadcast_if_small(var.select("feature_id")), "feature_id", "left_semi")
+    counts = kept.join(broadcast_if_small(cells.watched.select("cell_id")), "cell_id", "left_semi")
+    return var, counts, [disjoint, added, cells, sound]
+
+
 def model_input_summary(vmr: DataFrame, dmr: DataFrame, combined: DataFrame) -> DataFrame:
     """Counts of a combined input; ``combined_features`` must equal VMRs plus added DMRs."""
     return combined.agg(

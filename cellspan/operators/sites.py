@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cellspan.functions.columns import safe_percent, safe_ratio
+from cellspan.plans.guards import Guard
 
 # Which counts each stage accepts.
 SITE_RULES = {
@@ -46,6 +47,12 @@ def invalid_sites(sites: DataFrame, rule: str = "convert") -> DataFrame:
     return sites.where(~F.coalesce(F.expr(SITE_RULES[rule]), F.lit(False)))
 
 
+def guarded_sites(sites: DataFrame, rule: str = "convert") -> Guard:
+    """``sites`` under the contract of ``rule``: a row that breaks it stops the run at the sink and is named."""
+    shown = [c for c in ("cell_id", "path", "chrom", "pos", "mc", "cov") if c in sites.columns]
+    return Guard(sites, f"sites ({rule})", {"an invalid position or count": ~F.coalesce(F.expr(SITE_RULES[rule]), F.lit(False))}, shown)
+
+
 def coverage_projection(sites: DataFrame) -> DataFrame:
     """Add ``uc`` (unmethylated reads) and ``pct`` (methylation percentage)."""
     return sites.withColumn("uc", F.col("cov") - F.col("mc")).withColumn("pct", safe_percent("mc", "cov"))
@@ -74,6 +81,12 @@ def cell_site_qc(sites: DataFrame) -> DataFrame:
     )
 
 
+def guarded_cell_site_qc(sites: DataFrame, cells: DataFrame) -> Guard:
+    """:func:`cell_site_qc` for every cell of ``cells``; a cell without a covered site is an error."""
+    qc = cells.select("cell_id").distinct().join(cell_site_qc(sites), "cell_id", "left")
+    return Guard(qc, "cell site counts", {"no covered site": F.col("covered_sites").isNull()}, ["cell_id"])
+
+
 def cells_without_sites(cells: DataFrame, sites: DataFrame) -> DataFrame:
     """Cells of ``cells`` with no covered site: an error for the conversion stage."""
     return cells.join(sites.select("cell_id").distinct(), "cell_id", "left_anti")

@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cellspan.operators import batch, cells, expression, features, graph, intervals, linalg, methylation, neighbors, regions, sites
+from cellspan.plans.guards import checked
 from cellspan.plans.sizes import broadcast_if_small
 from cellspan.plans.storage import cut_lineage
 
@@ -41,12 +42,12 @@ def feature_matrix(
     """Canonical, blacklist-free, numbered regions; integer counts; the ``n`` best regions; annotated cells.
 
     ``candidates`` is ``chrom, start, end, peak_var, n_cpg, n_obs_cells`` and must be disjoint
-    (``intervals.overlapping_pairs_check``).
+    (``intervals.overlapping_pairs_check``). An invalid site count stops the route.
     """
     kept = intervals.remove_blacklisted(intervals.canonical_chroms(candidates, chrom_order), blacklist, blacklist_fraction)
     numbered = cut_lineage(intervals.number_features(kept, chrom_order, "VMR_%06d").drop("feature_rank"))
-    usable = sites.valid_sites(sites.context_filter(site_rows, context, "dinucleotide"), "count")
-    counts = cut_lineage(intervals.count_over_regions(usable, numbered))
+    usable = sites.guarded_sites(sites.context_filter(site_rows, context, "dinucleotide"), "count")
+    counts = checked(intervals.count_over_regions(usable.watched, numbered), usable)
     var = features.rank_regions(features.with_coverage(counts, numbered), cell_table, n, floor_percent=floor_percent)
     return FeatureMatrix(counts.join(var.select("feature_id"), "feature_id", "left_semi"), var, cells.annotate_obs(cell_table, annotation))
 
@@ -59,12 +60,17 @@ def differential_matrix(
 ) -> DifferentialMatrix:
     """Sites to group contrasts to leading hypomethylated regions to a z-scored region-by-cell table.
 
+    An invalid site count, a sample with fewer than two labels and a run that leaves no cell are errors.
     Cells pass ``meth_cell_filter`` (its bounds in ``cell_filter``) before smoothing. Contrasts run for
     the real and for permuted labels in one job, which gives ``dmr`` its ``adj_p``.
     Regions belong to a sample and are filled from that sample's cells only.
     """
-    usable = sites.valid_sites(sites.context_filter(site_rows, context), "convert")
-    passed = cut_lineage(cells.meth_cell_filter(cells.meth_cell_stats(sites.binary_calls(usable, round_sites)), **(cell_filter or {})))
+    valid = sites.guarded_sites(sites.context_filter(site_rows, context), "convert")
+    passed = checked(cells.meth_cell_filter(cells.meth_cell_stats(sites.binary_calls(valid.watched, round_sites)), **(cell_filter or {})), valid)
+    pairs, comparable = cells.guarded_pairs(cell_table.join(passed.select("cell_id"), "cell_id", "left_semi"))
+    checked(pairs, comparable)
+    # every row of the context has been looked at above
+    usable = sites.context_filter(site_rows, context)
     if passed.isEmpty():
         raise ValueError("no cell passes the site and methylation bounds")
     usable = usable.join(broadcast_if_small(passed.select("cell_id")), "cell_id", "left_semi")

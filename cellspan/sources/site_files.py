@@ -4,10 +4,11 @@ from __future__ import annotations
 
 import re
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
 from cellspan.plans.bounded import bounded_rows
+from cellspan.plans.guards import ConstraintError, Guard, counters
 from cellspan.sources.text import first_lines, is_content, read_lines
 
 # File name endings that are not part of a cell name, longest match first.
@@ -18,9 +19,10 @@ MAX_SAMPLES = 100_000
 
 def _fields(lines: DataFrame) -> DataFrame:
     parts = F.split("line", "\t")
-    number = lambda i: F.trim(parts[i]).try_cast("bigint")
+    part = lambda i: F.get(parts, F.lit(i))
+    number = lambda i: F.trim(part(i)).try_cast("bigint")
     return lines.withColumn("__n", F.size(parts)).select(
-        "*", parts[0].alias("chrom"), number(1).alias("pos"), parts[2].alias("strand"), parts[3].alias("context"),
+        "*", part(0).alias("chrom"), number(1).alias("pos"), part(2).alias("strand"), part(3).alias("context"),
         number(4).alias("mc"), number(5).alias("cov"),
     )
 
@@ -56,19 +58,58 @@ def _refuse(bad: Column, problem: Column) -> Column:
     return F.when(bad, told.cast("boolean")).otherwise(F.lit(True))
 
 
+def _malformed() -> Column:
+    return F.expr("__n < 6 or pos is null or mc is null or cov is null")
+
+
+def _fault() -> Column:
+    return F.when(F.col("__n") < 6, "fewer than 6 columns").otherwise("non-integer field")
+
+
+class HeaderGuard:
+    """Counts the lines that only a file's first line may be; looks for their places if there are any."""
+
+    def __init__(self, lines: DataFrame) -> None:
+        self._lines, self._seen = lines, Observation()
+
+    def watch(self, fields: DataFrame) -> DataFrame:
+        return fields.observe(self._seen, F.count_if(_malformed()).alias("headers"))
+
+    def verify(self) -> None:
+        found = counters(self._seen)
+        if found is None or found["headers"]:
+            found = allc_errors(self._lines).limit(5).collect()
+            if found:
+                raise ConstraintError(f"site files: {'; '.join(f'{r.path}: {r.problem}: {r.line[:200]}' for r in found)}")
+
+
+def guarded_allc(spark: SparkSession, paths, glob: str | None = "*.gz") -> tuple[DataFrame, HeaderGuard]:
+    """:func:`read_allc` in one pass. A malformed line stops the job where it is read, but for lines with six fields near a
+    file's start: those are left out and counted, and the guard tells at the sink whether each was its file's first.
+    """
+    lines = read_lines(spark, paths, glob)
+    guard = HeaderGuard(lines)
+    f = _fields(lines.where(is_content()))
+    perhaps = F.expr("__n >= 6 and __block = 0")
+    watched = guard.watch(f.where(_refuse(~perhaps & _malformed(), _fault())))
+    return parse_allc(watched.select(*lines.columns)).select("path", "chrom", "pos", "strand", "context", "mc", "cov"), guard
+
+
 def read_allc(spark: SparkSession, paths, glob: str | None = "*.gz", *, on_error: str = "raise") -> DataFrame:
     """``path, chrom, pos, strand, context, mc, cov`` of every site line.
 
-    A malformed line stops the job; ``on_error="skip"`` leaves it out for :func:`allc_errors` to report. A header
-    is a line at the start of a file (in its first split) without a number in any of the three number columns.
-    A gz file is one split; follow with :func:`write_sites` to spread and cluster the rows.
+    A malformed line stops the job; ``on_error="skip"`` leaves it out for :func:`allc_errors` to report. Only the very
+    first line of a file may lack numbers, as its header. To know which lines are first the files are read twice;
+    :func:`guarded_allc` reads them once. A gz file is one split; follow with :func:`write_sites` to spread and cluster the rows.
     """
     lines = read_lines(spark, paths, glob)
     if _checked(on_error):
-        f = _fields(lines.where(is_content()))
-        header = F.expr("__n >= 6 and __block = 0 and pos is null and mc is null and cov is null")
-        bad = ~header & F.expr("__n < 6 or pos is null or mc is null or cov is null")
-        lines = f.where(_refuse(bad, F.when(F.col("__n") < 6, "fewer than 6 columns").otherwise("non-integer field"))).select(*lines.columns)
+        # one row per file, which the driver's listing holds as well
+        f = _fields(lines.where(is_content())).join(F.broadcast(first_lines(lines)), "path")
+        header = (F.col("__n") >= 6) & (F.struct("__block", "__seq") == F.col("__first"))
+        # one predicate refuses and leaves out, so that no malformed line is gone before it is judged
+        good = F.when(_malformed(), ~_refuse(~header, _fault())).otherwise(F.lit(True))
+        return f.where(good).select("path", "chrom", "pos", "strand", "context", "mc", "cov")
     return parse_allc(lines).select("path", "chrom", "pos", "strand", "context", "mc", "cov")
 
 
@@ -152,6 +193,15 @@ def discover_cells_one_root(spark: SparkSession, root: str, sample_ids: list[str
     return discover_cells(spark.createDataFrame(rows, "sample_id string, allc_root string, allc_glob string, cell_id_prefix string"))
 
 
+def guarded_discovery(samples: DataFrame) -> tuple[DataFrame, list[Guard]]:
+    """:func:`discover_cells`, and the guards that every sample has a file and no cell id comes twice; one listing for all."""
+    found = discover_cells(samples).withColumn("__copies", F.count(F.lit(1)).over(Window.partitionBy("cell_id")))
+    unique = Guard(found, "discovered cells", {"a repeated cell id": F.col("__copies") > 1}, ["cell_id", "sample_id", "path"])
+    files = samples.select("sample_id").distinct().join(unique.watched.withColumnRenamed("sample_id", "__sample"), F.col("sample_id") == F.col("__sample"), "left")
+    present = Guard(files, "discovered cells", {"a sample without files": F.col("__sample").isNull()}, ["sample_id"])
+    return present.watched.drop("__sample", "__copies"), [present, unique]
+
+
 def duplicate_cells(cells: DataFrame) -> DataFrame:
     return cells.groupBy("cell_id").agg(F.count("*").alias("copies")).where("copies > 1")
 

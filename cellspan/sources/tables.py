@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cellspan.functions.columns import is_truthy
+from cellspan.plans.guards import ConstraintError, Guard, checked
 from cellspan.sources.text import is_content, read_lines, with_line_numbers
 
 # Manifest columns (version 1 is the first nine) and the accepted count formats.
@@ -42,23 +43,39 @@ def read_samples(spark: SparkSession, path: str) -> DataFrame:
     return out.withColumn("cell_id_prefix", F.when(F.col("cell_id_prefix") == "", F.col("sample_id")).otherwise(F.col("cell_id_prefix")))
 
 
-def sample_problems(samples: DataFrame) -> DataFrame:
-    """Every row with all of its problems (an array), for rows that have any."""
-    copies = samples.groupBy(_text("sample_id").alias("__id")).agg(F.count("*").alias("__n"))
+def _sample_faults(copies: Column) -> Column:
+    """All problems of a manifest row, given how often its id occurs."""
     rna, allc, fmt = _text("rna_path"), _text("allc_root"), _text("rna_format")
-    found = F.array_compact(F.array(
+    return F.array_compact(F.array(
         F.when(~_text("sample_id").rlike(r"^[A-Za-z0-9][A-Za-z0-9_.-]*$"), "invalid sample_id"),
-        F.when(F.col("__n") > 1, "duplicate sample_id"),
+        F.when(copies > 1, "duplicate sample_id"),
         F.when(~fmt.isin(*RNA_FORMATS), "unsupported rna_format"),
         F.when(is_truthy("include") & (rna == "") & (allc == ""), "no RNA or ALLC input"),
         F.when((rna != "") & (fmt == ""), "rna_format required"),
     ))
+
+
+def sample_problems(samples: DataFrame) -> DataFrame:
+    """Every row with all of its problems (an array), for rows that have any."""
+    copies = samples.groupBy(_text("sample_id").alias("__id")).agg(F.count("*").alias("__n"))
     return (
-        samples.withColumn("__id", _text("sample_id")).join(copies, "__id").withColumn("problems", found)
+        samples.withColumn("__id", _text("sample_id")).join(copies, "__id").withColumn("problems", _sample_faults(F.col("__n")))
         .where(F.size("problems") > 0).drop("__id", "__n")
     )
 
 
+def checked_samples(samples: DataFrame) -> DataFrame:
+    """``samples`` read once; a faulty row, named with all its problems, or a manifest that includes no sample is an error."""
+    copies = F.count(F.lit(1)).over(Window.partitionBy(_text("sample_id")))
+    judged = samples.withColumn("__copies", copies).withColumn("problems", _sample_faults(F.col("__copies"))).drop("__copies")
+    faults = Guard(judged, "sample manifest", {"problems": F.size("problems") > 0}, ["sample_id", "problems"])
+    stored = checked(faults.watched, faults)
+    # a manifest is stored now: this looks at the copy
+    if stored.where(is_truthy("include")).isEmpty():
+        raise ConstraintError("sample manifest: no included sample")
+    return stored.select(*samples.columns)
+
+
 def normalize_annotation(raw: DataFrame, cell_column: str = "cell_id", type_column: str = "cell_type") -> DataFrame:
     """``cell_id, cell_type`` first (label trimmed), the other columns after them in order."""
     rest = [c for c in raw.columns if c not in {cell_column, type_column, "cell_id", "cell_type"}]
@@ -80,10 +97,46 @@ def annotation_problems(annotation: DataFrame) -> DataFrame:
     return blank.unionByName(twice)
 
 
+def checked_annotation(annotation: DataFrame) -> DataFrame:
+    """``annotation`` read once; a repeated or blank cell id and a blank label are errors that name the row."""
+    copies = F.count(F.lit(1)).over(Window.partitionBy("cell_id"))
+    guard = Guard(annotation.withColumn("__copies", copies), "annotation", {
+        "a blank cell id": _text("cell_id") == "", "a blank label": _text("cell_type") == "", "a repeated cell id": F.col("__copies") > 1,
+    }, ["cell_id", "cell_type"])
+    return checked(guard.watched.drop("__copies"), guard)
+
+
+def checked_bed(bed: DataFrame, chrom_sizes: DataFrame | None = None, *, file: str = "interval file") -> DataFrame:
+    """``bed`` (as :func:`read_bed` gives it) read once, without ``_corrupt``; an unreadable row or bad coordinates are errors.
+
+    Where sizes are given, an interval past its chromosome's end is one too; chromosomes they lack are left alone.
+    """
+    rows, past = bed, F.lit(False)
+    if chrom_sizes is not None:
+        rows = bed.join(F.broadcast(checked_sizes(chrom_sizes).select("chrom", F.col("size").alias("__size"))), "chrom", "left")
+        past = F.col("end") > F.col("__size")
+    unread = F.col("_corrupt").isNotNull() | F.col("start").isNull() | F.col("end").isNull()
+    guard = Guard(rows, file, {
+        "an unreadable row": unread, "an invalid interval": (F.col("start") < 0) | (F.col("end") <= F.col("start")), "an end past the chromosome": past,
+    }, ["chrom", "start", "end", "_corrupt"])
+    return checked(guard.watched.select(*[c for c in bed.columns if c != "_corrupt"]), guard)
+
+
+def checked_sizes(chrom_sizes: DataFrame, *, limit: int = 1_000_000) -> DataFrame:
+    """``chrom_sizes`` stored; a chromosome listed twice, or more of them than a broadcast should hold, is an error."""
+    copies = F.count(F.lit(1)).over(Window.partitionBy("chrom"))
+    guard = Guard(chrom_sizes.withColumn("__copies", copies), "chromosome sizes", {
+        "a chromosome listed twice": F.col("__copies") > 1, "a size that is no positive number": ~F.coalesce(F.col("size") > 0, F.lit(False))}, ["chrom", "size"])
+    out = checked(guard.watched.drop("__copies"), guard)
+    if out.count() > limit:
+        raise ConstraintError(f"chromosome sizes: more than {limit} chromosomes")
+    return out
+
+
 def read_bed(spark: SparkSession, path: str, kind: str) -> DataFrame:
     """Headerless interval file of one of :data:`BED_KINDS`; blank and ``#`` lines are skipped.
 
-    A row that does not parse keeps its text in ``_corrupt``; see :func:`bed_problems`.
+    A row that does not parse keeps its text in ``_corrupt``; :func:`checked_bed` refuses it, :func:`bed_problems` lists it.
     """
     schema = T._parse_datatype_string(BED_KINDS[kind] + ", _corrupt string")
     return (

@@ -8,25 +8,41 @@ from pyspark.sql.utils import AnalysisException
 
 from cellspan.operators.intervals import count_over_regions, index_regions
 from cellspan.operators.matrices import dataset_fingerprint
-from cellspan.operators.sites import context_filter, valid_sites
-from cellspan.sources.site_files import cell_name, parse_allc, prefixed_cell_id
+from cellspan.operators.quality import require_empty
+from cellspan.operators.sites import context_filter, guarded_sites
+from cellspan.plans.guards import checked
+from cellspan.plans.storage import cut_lineage
+from cellspan.sources.site_files import allc_errors, cell_name, parse_allc, prefixed_cell_id
 
 
 def stream_allc(spark: SparkSession, folder: str, prefix: str, glob: str = "*.gz", files_per_batch: int = 1000) -> DataFrame:
-    """Streaming site rows of the ALLC files that appear below ``folder``; one file is one cell."""
+    """Streaming ALLC lines of the files that appear below ``folder``; one file is one cell.
+
+    ``cell_id, path, line, __block``: lines are parsed with their file at hand, batch by batch, by :func:`stream_region_counts`.
+    """
     lines = (
         spark.readStream.option("maxFilesPerTrigger", files_per_batch).option("pathGlobFilter", glob)
         .option("recursiveFileLookup", "true").format("text").load(folder)
-        .select(F.col("_metadata.file_name").alias("path"), F.col("value").alias("line"))
+        .select(F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_name").alias("name"), F.col("value").alias("line"),
+                F.col("_metadata.file_block_start").alias("__block"))
     )
-    name = prefixed_cell_id(cell_name("path"), F.lit(prefix))
-    return parse_allc(lines).withColumn("cell_id", name).drop("path")
+    return lines.withColumn("cell_id", prefixed_cell_id(cell_name("name"), F.lit(prefix))).drop("name")
+
+
+def _parsed(batch: DataFrame) -> DataFrame:
+    """Site rows of a batch of lines, each file's first line excused; stored once, malformed lines are errors that are named."""
+    lines = cut_lineage(batch.withColumn("__seq", F.monotonically_increasing_id()))
+    require_empty(allc_errors(lines), "malformed lines in arriving files")
+    return parse_allc(lines).select("cell_id", "path", "chrom", "pos", "context", "mc", "cov")
 
 
 def _read_or_none(spark: SparkSession, path: str) -> DataFrame | None:
     try:
         return spark.read.parquet(path)
-    except AnalysisException:
+    except AnalysisException as absent:
+        # anything else is a fault of the store, not a first start
+        if absent.getCondition() != "PATH_NOT_FOUND":
+            raise
         return None
 
 
@@ -46,35 +62,36 @@ def stream_region_counts(sites: DataFrame, regions: DataFrame, output: str, *, c
     Each micro-batch overwrites its own ``batch_id`` folder, so a replayed batch leaves no duplicate.
     A cell comes from one file: the same file seen again changes nothing, and a second file with a cell id that
     another file has brought, in the same batch or an earlier one, stops the query. The file is ``path`` where the
-    sites have it, else the file that Spark reads. Needs a shared file system for ``output``.
+    sites have it, else the file that Spark reads. ``sites`` are lines of :func:`stream_allc` or parsed rows; a malformed line
+    and an invalid count stop the query before their batch is written. Needs a shared file system for ``output``.
     """
     spark = sites.sparkSession
     _check_definition(spark, regions, context, f"{output}/definition")
     index = index_regions(regions.select("chrom", "start", "end", "feature_id"))
     if "path" not in sites.columns:
         sites = sites.withColumn("path", F.col("_metadata.file_path"))
-    wanted = valid_sites(context_filter(sites, context, "dinucleotide"), "count").select("cell_id", "path", "chrom", "pos", "mc", "cov")
+    raw = "line" in sites.columns
+    incoming = sites if raw else context_filter(sites, context, "dinucleotide").select("cell_id", "path", "chrom", "pos", "mc", "cov")
 
     def write(batch: DataFrame, batch_id: int) -> None:
         session = batch.sparkSession
         done = _read_or_none(session, f"{output}/cells")
-        fresh, origins = batch, batch.select("cell_id", "path")
+        rows = context_filter(_parsed(batch), context, "dinucleotide").drop("context") if raw else batch
+        valid = guarded_sites(rows, "count")
+        rows = checked(valid.watched, valid)
+        fresh, origins = rows, rows.select("cell_id", "path")
         if done is not None:
             earlier = done.where(F.col("batch_id") < batch_id).select("cell_id", "path")
-            fresh = batch.join(earlier, ["cell_id", "path"], "left_anti")
+            fresh = rows.join(earlier, ["cell_id", "path"], "left_anti")
             origins = origins.unionByName(earlier.join(origins.select("cell_id").distinct(), "cell_id", "left_semi"))
-        fresh = fresh.persist()
-        try:
-            twice = origins.groupBy("cell_id").agg(F.min("path").alias("a"), F.max("path").alias("b")).where("a <> b").first()
-            if twice is not None:
-                raise ValueError(f"cell {twice['cell_id']} comes from more than one file: {twice['a']}, {twice['b']}")
-            count_over_regions(fresh, index).write.mode("overwrite").parquet(f"{output}/counts/batch_id={batch_id}")
-            # the cell list is written last: it marks the batch as finished
-            fresh.select("cell_id", "path").distinct().write.mode("overwrite").parquet(f"{output}/cells/batch_id={batch_id}")
-        finally:
-            fresh.unpersist()
-
-    writer = wanted.writeStream.foreachBatch(write).option("checkpointLocation", f"{output}/checkpoint")
+        twice = origins.groupBy("cell_id").agg(F.min("path").alias("a"), F.max("path").alias("b")).where("a <> b").first()
+        if twice is not None:
+            raise ValueError(f"cell {twice['cell_id']} comes from more than one file: {twice['a']}, {twice['b']}")
+        count_over_regions(fresh, index).write.mode("overwrite").parquet(f"{output}/counts/batch_id={batch_id}")
+        # the cell list is written last: it marks the batch as finished
+        fresh.select("cell_id", "path").distinct().write.mode("overwrite").parquet(f"{output}/cells/batch_id={batch_id}")
+
+    writer = incoming.writeStream.foreachBatch(write).option("checkpointLocation", f"{output}/checkpoint")
     return (writer.trigger(availableNow=True) if available_now else writer).start()
 
 
