@@ -1,5 +1,7 @@
 """Queries for smoothing, scanning, contrasts and hypomethylation scores."""
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from cellspan.catalog.base import duck, registry
@@ -8,6 +10,7 @@ from cellspan.operators import features as FT
 from cellspan.operators import intervals as I
 from cellspan.operators import methylation as M
 from cellspan.operators import sites as S
+from cellspan.plans.storage import cut_lineage
 
 add = registry.add
 
@@ -27,8 +30,7 @@ def calls(t):
 
 
 def residuals(t):
-    c = calls(t)
-    return M.call_residuals(c, M.smooth_methylation(c))
+    return M.tile_residuals(M.tile_calls(calls(t)))
 
 
 @add("m1_smooth_methylation", duck("select chrom, pos, n, meth, round(smoothed, 6) smoothed from smooth", "cg", ctes=_CALLS))
@@ -36,11 +38,29 @@ def m1(t):
     return M.smooth_methylation(calls(t)).withColumn("smoothed", F.round("smoothed", 6))
 
 
+@add("m2_call_residuals", duck("select cell_id, chrom, pos, call, count(*) copies, round(r, 6) residual from resid group by all", "cg", ctes=_CALLS))
+def m2_residuals(t):
+    c = calls(t)
+    out = M.call_residuals(c, M.smooth_methylation(c))
+    return out.withColumn("residual", F.round("residual", 6)).groupBy("cell_id", "chrom", "pos", F.col("call").cast("int").alias("call"), "residual").agg(F.count("*").alias("copies"))
+
+
+@add("m2_tile_residuals", duck("select cell_id, chrom, pos, call, count(*) copies, round(r, 6) residual from resid group by all", "cg", ctes=_CALLS))
+def m2_tiles(t):
+    tiles = M.save_tiles(M.tile_calls(calls(t), tile=4_000), table := "tiles_" + uuid.uuid4().hex, 8)
+    try:
+        out = M.own_residuals(M.tile_residuals(tiles, tile=4_000, broadcast_rows=0)).withColumn("residual", F.round("residual", 6))
+        return cut_lineage(out.groupBy("cell_id", "chrom", "pos", F.col("call").cast("int").alias("call"), "residual").agg(F.count("*").alias("copies")))
+    finally:
+        t.spark.sql(f"drop table {table}")
+
+
 @add("m2_shrunken_residuals", duck("""
 select cell_id, feature_id, cast(sum(call) as bigint) methylated_sites, count(*) total_sites, round(avg(call), 6) methylation_fraction, round(sum(r)/(count(*)+1), 6) shrunken_residual
 from resid c join regions g on c.chrom=g.chrom and c.pos-1 >= g."start" and c.pos-1 < g."end" group by 1,2""", "cg", "regions", ctes=_CALLS))
 def m2(t):
-    out = M.shrunken_residuals(residuals(t), t.regions)
+    c = calls(t)
+    out = M.shrunken_residuals(M.call_residuals(c, M.smooth_methylation(c)), t.regions)
     return out.withColumn("methylation_fraction", F.round("methylation_fraction", 6)).withColumn("shrunken_residual", F.round("shrunken_residual", 6))
 
 
@@ -63,7 +83,7 @@ from (select chrom, min("start") "start", max("end") "end", max(variance) peak_v
   where variance >= (select round(quantile_cont(variance, 0.8), 9) from wv))) group by chrom, g) m
  join calls c on c.chrom=m.chrom and c.pos-1 >= m."start" and c.pos-1 < m."end" group by 1,2,3,4)""", "cg", ctes=_SCAN))
 def m3(t):
-    out = M.scan_variable_regions(residuals(t), bandwidth=2000, step=500, top=0.2)
+    out = M.scan_variable_regions(residuals(t), bandwidth=2000, step=500, top=0.2, calls=calls(t))
     return out.withColumn("peak_var", F.round("peak_var", 6))
 
 

@@ -6,9 +6,11 @@ so windows are positional ranges, never time windows.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from cellspan.functions.columns import int_div, safe_ratio
@@ -17,10 +19,12 @@ from cellspan.operators.intervals import join_sites_to_regions, merge_overlappin
 from cellspan.operators.quality import require_empty
 from cellspan.plans.prefix import global_row_number, ordered_blocks, prefix_sum
 from cellspan.plans.quantiles import exact_quantiles
-from cellspan.plans.sizes import broadcast_if_small
+from cellspan.plans.sizes import BROADCAST_ROWS, broadcast_if_small
 from cellspan.plans.storage import cut_lineage
 
 TILE = 65_536
+#: Positions of a tile of :func:`tile_calls`; a multiple of every step.
+SITE_TILE = 32_000
 
 
 def _tricube_tile(bandwidth: int):
@@ -56,6 +60,10 @@ def smooth_methylation(calls: DataFrame, bandwidth: int = 1000, *, tile: int = T
     ``tile + 2 * bandwidth`` positions whatever the depth.
     """
     sites = calls.groupBy("chrom", "pos").agg(F.count("*").alias("n"), F.sum("call").alias("meth"))
+    return _smoothed_positions(sites, bandwidth, tile)
+
+
+def _smoothed_positions(sites: DataFrame, bandwidth: int, tile: int) -> DataFrame:
     reach = F.sequence(int_div(F.greatest(F.col("pos") - bandwidth, F.lit(0)), tile), int_div(F.col("pos") + bandwidth, tile))
     padded = sites.select("chrom", "pos", "n", "meth", F.explode(reach).alias("tile")).withColumn(
         "core", int_div("pos", tile) == F.col("tile")
@@ -65,6 +73,60 @@ def smooth_methylation(calls: DataFrame, bandwidth: int = 1000, *, tile: int = T
     )
 
 
+def _tiles_of(position, bandwidth: int, tile: int):
+    """Tiles that hold a 0-based position: its own, and the one before it where that one's last windows reach it."""
+    return F.explode(F.sequence(int_div(F.greatest(position - bandwidth, F.lit(0)), tile), int_div(position, tile))).alias("tile")
+
+
+def tile_calls(calls: DataFrame, *, bandwidth: int = 2000, tile: int = SITE_TILE, extra: Sequence[str] = ()) -> DataFrame:
+    """``calls`` placed once by (chromosome, tile): the layout that residuals and windows of any cell and label keep.
+
+    A tile also holds the calls up to ``bandwidth`` behind it, which its last windows reach. ``core`` marks the tile a call
+    belongs to; ``extra`` columns stay.
+    """
+    at = F.col("pos") - 1
+    rows = calls.select("cell_id", *extra, "chrom", "pos", "call", _tiles_of(at, bandwidth, tile))
+    return rows.withColumn("core", int_div(at, tile) == F.col("tile")).repartition("chrom", "tile")
+
+
+def save_tiles(tiles: DataFrame, table: str, buckets: int) -> DataFrame:
+    """``tiles`` (of :func:`tile_calls`) as a table bucketed and sorted by chromosome and tile; its readers need no exchange."""
+    tiles.write.bucketBy(buckets, "chrom", "tile").sortBy("chrom", "tile", "pos").format("parquet").mode("errorifexists").saveAsTable(table)
+    return tiles.sparkSession.table(table)
+
+
+def tile_residuals(
+    tiles: DataFrame, smooth_bandwidth: int = 1000, *, bandwidth: int = 2000, tile: int = SITE_TILE, broadcast_rows: int = BROADCAST_ROWS
+) -> DataFrame:
+    """``tiles`` with the ``residual`` of each call: the call minus its position's tricube-smoothed methylation.
+
+    The numbers of :func:`call_residuals`, but no call leaves its tile: positions, which are few beside calls, are summed where
+    they lie, smoothed, and broadcast, or beyond ``broadcast_rows`` sent to the tiles that hold them and carried on to the calls that
+    follow them in position order.
+    ``bandwidth`` and ``tile`` are those of :func:`tile_calls`.
+    """
+    sums = tiles.where("core").groupBy("chrom", "tile", "pos").agg(F.count("*").alias("n"), F.sum("call").alias("meth")).drop("tile")
+    smoothed = cut_lineage(_smoothed_positions(sums, smooth_bandwidth, TILE))
+    if smoothed.count() <= broadcast_rows:
+        # a broadcast join leaves the calls where they are as well
+        known = F.broadcast(smoothed.select("chrom", "pos", F.col("smoothed").alias("__m")))
+        return tiles.join(known, ["chrom", "pos"]).withColumn("residual", F.col("call") - F.col("__m")).drop("__m")
+    others = [c for c in tiles.columns if c not in ("chrom", "tile", "pos")]
+    types = dict(tiles.dtypes)
+    positions = smoothed.select("chrom", "pos", "smoothed", _tiles_of(F.col("pos") - 1, bandwidth, tile)).repartition("chrom", "tile").select(
+        "chrom", "tile", "pos", "smoothed", *[F.lit(None).cast(types[c]).alias(c) for c in others])
+    both = positions.unionByName(tiles.select("chrom", "tile", "pos", F.lit(None).cast("double").alias("smoothed"), *others))
+    # a position's own row sorts before its calls
+    along = Window.partitionBy("chrom", "tile").orderBy("pos", F.col("smoothed").desc_nulls_last()).rowsBetween(Window.unboundedPreceding, 0)
+    carried = both.withColumn("__m", F.last("smoothed", ignorenulls=True).over(along))
+    return carried.where(F.col("smoothed").isNull()).withColumn("residual", F.col("call") - F.col("__m")).drop("smoothed", "__m")
+
+
+def own_residuals(residuals: DataFrame) -> DataFrame:
+    """Each call once, without the layout columns: what operators over regions take."""
+    return residuals.where("core").drop("tile", "core") if "core" in residuals.columns else residuals
+
+
 def call_residuals(calls: DataFrame, smoothed: DataFrame) -> DataFrame:
     """Each call minus the smoothed value of its position."""
     joined = calls.select("cell_id", "chrom", "pos", "call").join(smoothed.select("chrom", "pos", "smoothed"), ["chrom", "pos"])
@@ -73,7 +135,7 @@ def call_residuals(calls: DataFrame, smoothed: DataFrame) -> DataFrame:
 
 def shrunken_residuals(residuals: DataFrame, regions: DataFrame) -> DataFrame:
     """Per (cell, region): methylated and total sites, fraction, and ``sum(residual) / (n + 1)``."""
-    hits = join_sites_to_regions(residuals, regions.select("chrom", "start", "end", "feature_id"))
+    hits = join_sites_to_regions(own_residuals(residuals), regions.select("chrom", "start", "end", "feature_id"))
     sums = hits.groupBy("cell_id", "feature_id").agg(
         F.sum("call").alias("methylated_sites"), F.count("*").alias("total_sites"), F.sum("residual").alias("__r")
     )
@@ -84,7 +146,21 @@ def shrunken_residuals(residuals: DataFrame, regions: DataFrame) -> DataFrame:
     )
 
 
-def _cell_windows(residuals: DataFrame, bandwidth: int, step: int, extra: tuple[str, ...] = ()) -> DataFrame:
+def _tiled_windows(residuals: DataFrame, bandwidth: int, step: int, extra: tuple[str, ...], tile: int) -> DataFrame:
+    """:func:`_cell_windows` of rows that lie by (chromosome, tile); a window belongs to the tile it starts in."""
+    if tile % step:
+        raise ValueError("the tile must be a multiple of step")
+    span = bandwidth // step
+    pane = int_div(F.col("pos") - 1, step).alias("pane")
+    panes = residuals.groupBy("cell_id", *extra, "chrom", "tile", pane).agg(
+        F.count("*").alias("n"), F.sum("call").alias("meth"), F.sum("residual").alias("r"))
+    first = F.greatest(F.col("pane") - (span - 1), F.lit(0).cast("long"))
+    windows = panes.withColumn("window", F.explode(F.sequence(first, F.col("pane")))).where(int_div(F.col("window") * step, tile) == F.col("tile"))
+    return windows.groupBy("cell_id", *extra, "chrom", "tile", "window").agg(
+        F.sum("n").alias("n"), F.sum("meth").alias("meth"), F.sum("r").alias("r")).withColumn("value", F.col("r") / (F.col("n") + 1))
+
+
+def _cell_windows(residuals: DataFrame, bandwidth: int, step: int, extra: tuple[str, ...] = (), tile: int = SITE_TILE) -> DataFrame:
     """Per (cell, sliding window): calls, methylated calls and shrunken residual.
 
     Sites are summed into panes of one step; each pane then feeds the ``bandwidth / step`` windows
@@ -95,6 +171,8 @@ def _cell_windows(residuals: DataFrame, bandwidth: int, step: int, extra: tuple[
     if bandwidth % step:
         raise ValueError("bandwidth must be a multiple of step")
     span = bandwidth // step
+    if "tile" in residuals.columns:
+        return _tiled_windows(residuals, bandwidth, step, extra, tile)
     tile = max(256, 8 * span)
     rows = residuals.select("cell_id", *extra, "chrom", "call", "residual", int_div(F.col("pos") - 1, step).alias("pane"))
     first = F.greatest(F.col("pane") - (span - 1), F.lit(0).cast("long"))
@@ -110,10 +188,14 @@ def _cell_windows(residuals: DataFrame, bandwidth: int, step: int, extra: tuple[
     )
 
 
-def window_variance(residuals: DataFrame, *, bandwidth: int = 2000, step: int = 100, min_cells: int = 6) -> DataFrame:
-    """Population variance over cells of the windows' shrunken residuals, for windows with enough cells."""
-    per_cell = _cell_windows(residuals, bandwidth, step)
-    out = per_cell.groupBy("chrom", "window").agg(
+def window_variance(residuals: DataFrame, *, bandwidth: int = 2000, step: int = 100, min_cells: int = 6, tile: int = SITE_TILE) -> DataFrame:
+    """Population variance over cells of the windows' shrunken residuals, for windows with enough cells.
+
+    ``tile`` is that of :func:`tile_calls`, where the residuals lie by tile.
+    """
+    per_cell = _cell_windows(residuals, bandwidth, step, (), tile)
+    # a window has one tile, whose name keeps the rows where they are
+    out = per_cell.groupBy("chrom", "tile", "window").agg(
         F.var_pop("value").alias("variance"), F.count("*").alias("n_cells")
     ).where(F.col("n_cells") >= min_cells)
     return out.select(
@@ -122,25 +204,26 @@ def window_variance(residuals: DataFrame, *, bandwidth: int = 2000, step: int =
 
 
 def scan_variable_regions(
-    residuals: DataFrame, *, bandwidth: int = 2000, step: int = 100, top: float = 0.02, min_cells: int = 6
+    residuals: DataFrame, *, bandwidth: int = 2000, step: int = 100, top: float = 0.02, min_cells: int = 6,
+    calls: DataFrame | None = None, tile: int = SITE_TILE,
 ) -> DataFrame:
     """Variable regions: windows at or above the ``1 - top`` variance quantile, overlaps merged.
 
-    Output ``chrom, start, end, peak_var, n_cpg, n_obs_cells``; the site and cell numbers are
+    With ``calls``, which ``residuals`` were made from, the residuals are derived once; without, the recount reads them again. Output ``chrom, start, end, peak_var, n_cpg, n_obs_cells``; the site and cell numbers are
     recounted over the merged region.
     """
     if not 0 < top <= 1:
         raise ValueError("top must be in (0, 1]")
     # genome / step rows, read for the cutoff and for the merge
     windows = cut_lineage(
-        window_variance(residuals, bandwidth=bandwidth, step=step, min_cells=min_cells).withColumn(
+        window_variance(residuals, bandwidth=bandwidth, step=step, min_cells=min_cells, tile=tile).withColumn(
             "variance", F.round("variance", 9)
         )
     )
     cutoff = exact_quantiles(windows, [], "variance", [1.0 - top]).select(F.round("quantile", 9)).scalar()
     merged = merge_overlapping(windows.where(F.col("variance") >= cutoff), max_of=["variance"])
     regions = merged.withColumn("feature_id", F.concat_ws("_", "chrom", "start", "end"))
-    hits = join_sites_to_regions(residuals.select("cell_id", "chrom", "pos"), regions.select("chrom", "start", "end", "feature_id"))
+    hits = join_sites_to_regions((own_residuals(residuals) if calls is None else calls).select("cell_id", "chrom", "pos"), regions.select("chrom", "start", "end", "feature_id"))
     # distinct counts copy rows, but only those inside the few merged regions
     seen = hits.groupBy("feature_id").agg(F.count_distinct("pos").alias("n_cpg"), F.count_distinct("cell_id").alias("n_obs_cells"))
     return regions.join(seen, "feature_id").select("chrom", "start", "end", F.col("variance").alias("peak_var"), "n_cpg", "n_obs_cells")
@@ -168,7 +251,7 @@ def label_windows(
         )
         per_cell = per_cell.withColumn("__l", F.explode(either)).drop("cell_type", "permuted_type").select("*", "__l.*")
         groups.append("is_real")
-    return per_cell.groupBy(*groups, "chrom", "window").agg(
+    return per_cell.groupBy(*groups, "chrom", "tile", "window").agg(
         F.count("*").alias("cells"), F.sum("value").alias("s"), F.sum(F.col("value") * F.col("value")).alias("q"),
         F.sum("meth").alias("meth"), F.sum("n").alias("n_sites"),
     )

@@ -75,7 +75,9 @@ def differential_matrix(
         raise ValueError("no cell passes the site and methylation bounds")
     usable = usable.join(broadcast_if_small(passed.select("cell_id")), "cell_id", "left_semi")
     calls = sites.binary_calls(usable, round_sites)
-    residuals = methylation.call_residuals(calls, methylation.smooth_methylation(calls, smooth_bandwidth))
+    # one exchange of the calls: smoothing, residuals and windows stay in its tiles
+    tiles = methylation.tile_calls(calls, bandwidth=bandwidth)
+    residuals = methylation.tile_residuals(tiles, smooth_bandwidth, bandwidth=bandwidth)
     windows = methylation.label_windows(residuals, cell_table, bandwidth=bandwidth, step=step, permute_seed=permute_seed)
     contrasts = methylation.compare_windows(windows, bandwidth=bandwidth, step=step, min_cells=min_cells)
     dmr = cut_lineage(methylation.diff_methylation(contrasts, threshold=threshold))
