@@ -89,6 +89,17 @@ def m15(t):
     return r(N.knn(t.embedding.select("cell_id", "vec"), 15), 6, "dist")
 
 
+@add("m15_knn_projected", duck("select count(*) cells, count(*) * 15 edges, true recall_reached, true recall_told from embeddings"))
+def m15_projected(t):
+    """Projected edges against the exact ones: their number, the share found, and whether the sampled estimate came near it."""
+    points = t.embedding.select("cell_id", "vec")
+    edges, told = N.knn_projected(points, 15, tables=4, block=128)
+    exact = N.knn(points, 15).select("src", "dst", F.lit(1).alias("true"))
+    both = edges.join(exact, ["src", "dst"], "left").agg(
+        F.count_distinct("src").alias("cells"), F.count("*").alias("edges"), (F.sum("true") / F.count("*")).alias("recall"))
+    return both.select("cells", "edges", (F.col("recall") >= 0.93).alias("recall_reached"), (F.abs(F.col("recall") - told) <= 0.05).alias("recall_told"))
+
+
 _LP = _KNN + """,
 me as (select a.src, a.dst, 1/(1+a.dist) w from kn a join kn b on a.src=b.dst and a.dst=b.src),
 l0 as (select vec_id node, vec_id lab from embeddings)""" + "".join(f""",
