@@ -378,8 +378,13 @@ def hypo_score(counts: DataFrame, *, keep: float = 0.9) -> DataFrame:
     are dropped.
     """
     rate = counts.groupBy("cell_id").agg(safe_ratio(F.sum("mc"), F.sum("cov")).alias("__rate"))
+    rated = counts.join(broadcast_if_small(rate, materialize=True), "cell_id")
+    if keep > 0.5:
+        # the median of a binomial is its mean rounded up or down: from there on the tail is a half at most
+        rated = rated.where(F.col("mc") < F.ceil(F.col("cov") * F.col("__rate")))
     score = binomial_upper_tail(F.col("mc"), F.col("cov"), F.col("__rate"))
-    return counts.join(broadcast_if_small(rate, materialize=True), "cell_id").withColumn("score", score).where(F.col("score") >= keep).drop("__rate")
+    # a filter on the column would be evaluated below it and repeat the tail; a generator keeps both in one place
+    return rated.withColumn("score", F.explode(F.filter(F.array(score), lambda x: x >= keep))).drop("__rate")
 
 
 def hypo_prevalence(scores: DataFrame, cutoff: float = 0.95) -> DataFrame:
