@@ -171,6 +171,18 @@ def w4(t):
     return P.sorted_site_check(_lines(t))
 
 
+@add("w4_order_summaries", duck("select * from brk where unsorted > 0 or blocks > 1", "sites", ctes=_LINES))
+def w4_summaries(t):
+    # the lines as text files, one a path, as per-cell files are
+    folder = scratch_path(t.spark, "site-lines")
+    text = F.concat_ws("\t", "chrom", "pos").alias("value")
+    _lines(t).repartition("path").sortWithinPartitions("path", "line_no").select("path", text).write.partitionBy("path").text(folder)
+    parts = F.split("line", "\t")
+    lines = read_lines(t.spark, folder).select(
+        F.regexp_extract("path", "/path=([^/]+)/", 1).alias("path"), "__block", parts[0].alias("chrom"), parts[1].cast("bigint").alias("pos"))
+    return P.stitched_site_check(P.order_summaries(lines))
+
+
 @add("q1_preflight_full", duck("""
 select path, count(*) records_checked, count(*) filter (not (pos>=1 and mc>=0 and cov>=0 and mc<=cov)) invalid_records, bool_or(context like 'CG%') saw_context,
  cast((select sum(unsorted + blocks - 1) from brk where brk.path = lines.path and (unsorted > 0 or blocks > 1)) as bigint) order_breaks, 'full' mode, 'not coordinate sorted' problem from lines group by path""", "sites", ctes=_LINES))
