@@ -6,9 +6,11 @@ enumerating the symbols that may differ gives keys, one of which such a pair mus
 a pair misses all keys with probability 2e-4, at 0.85 with 6e-6.
 
 Equal sets collapse to one representative first. In each key's bucket every representative is compared with one
-pivot; in buckets that still hold several components, pairs across components within the signature-distance
-threshold are compared too. So no bucket is expanded into all its pairs, and no link between different components
-is lost.
+pivot. Buckets that still hold several components are joined to clusters, and each cluster takes its best-connected
+member P as centre. With D(A) the symmetric difference of A and P, D(A) and D(B) differ in exactly the elements in
+which A and B differ. So whoever is similar to P is linked by the size of D alone, and a link between others needs a
+least number of elements common to D(A) and D(B): a join of their rarest elements finds all of these. A text that a
+group of copies shares is P, so it is in no D, and a bucket is never expanded into its pairs.
 """
 
 from __future__ import annotations
@@ -17,10 +19,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from cellspan.llm.common import stored, text_slices
+from cellspan.llm.common import join_by_counted_key, stored, text_slices
 from cellspan.plans.sizes import broadcast_if_small
 
 CHUNKS, WIDTH, ERRORS = 8, 6, 1
@@ -92,22 +94,6 @@ def signature_keys(signatures: np.ndarray) -> np.ndarray:
     return np.stack(keys, axis=1).view(np.int64)
 
 
-def _distance(a: str, b: str) -> Column:
-    """Differing symbols of two signatures held as numbers of four symbols each."""
-    total = F.lit(0)
-    for i in range(SYMBOLS // 4):
-        x = F.col(a)[i].bitwiseXOR(F.col(b)[i])
-        # a carry into bit 14 of a symbol's 16 bits tells that one of its 14 bits differs
-        total = total + F.bit_count((x + F.lit(0x3FFF3FFF3FFF3FFF)).bitwiseAND(F.lit(0x4000400040004000)))
-    return total
-
-
-def farthest(percent: int) -> int:
-    """The signature-distance threshold: six standard deviations beyond the mean of pairs just similar enough."""
-    p = 1 - percent / 100
-    return min(SYMBOLS, int(SYMBOLS * p + 6 * (SYMBOLS * p * (1 - p)) ** 0.5) + 1)
-
-
 def _summaries(words: int):
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         import xxhash
@@ -144,19 +130,13 @@ def _similar(inter: Column, a: Column, b: Column, percent: int) -> Column:
     return inter * 100 >= (a + b - inter) * percent
 
 
-def _confirmed(pairs: DataFrame, docs: DataFrame, sizes: DataFrame, words: int, percent: int) -> DataFrame:
+def _confirmed(pairs: DataFrame, sets: DataFrame, sizes: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) of ``pairs`` whose full sets are similar enough."""
     # of the sets under one doc_id the smallest and the largest: a pair goes only if no sizes between them fit
     size = lambda x: sizes.select(F.col("rep").alias(x), F.col("least").alias(f"least_{x}"), F.col("most").alias(f"most_{x}"))
-    fit = stored(
+    fit = (
         pairs.join(size("a"), "a").join(size("b"), "b")
-        .where((F.col("most_a") * 100 >= F.col("least_b") * percent) & (F.col("most_b") * 100 >= F.col("least_a") * percent)),
-        "candidate-pairs",
-    )
-    wanted = fit.select(F.col("a").alias("id")).unionByName(fit.select(F.col("b").alias("id"))).distinct()
-    texts = docs.join(broadcast_if_small(wanted, materialize=True), docs["doc_id"] == F.col("id"), "left_semi")
-    sets = stored(
-        texts.select("doc_id", "text").mapInPandas(_sets(words), "id bigint, shingles array<bigint>"), "candidate-sets"
+        .where((F.col("most_a") * 100 >= F.col("least_b") * percent) & (F.col("most_b") * 100 >= F.col("least_a") * percent))
     )
     # rows that share a doc_id are one document here: any of its sets may give the link
     side = lambda x: sets.select(F.col("id").alias(x), F.col("shingles").alias(f"s_{x}"))
@@ -168,6 +148,49 @@ def _confirmed(pairs: DataFrame, docs: DataFrame, sizes: DataFrame, words: int,
     )
 
 
+def _unlike_centre(members: DataFrame, sets: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
+    """(links, pairs): members similar to their cluster's centre, and pairs across components that may be similar.
+
+    ``members`` is (rep, component, cluster, weight); the heaviest member of a cluster is its centre. Similar sets
+    differ in at most ``(100 - percent) / (100 + percent)`` of the sum of their sizes. A pair across components has
+    a side that is unlike the centre, called the outer one here. From that follow the least numbers of elements in
+    common, and with them how many of a member's differences to the centre, rarest first, can hold the first common
+    one.
+    """
+    gap, whole = 100 - percent, 100 + percent
+    centre = members.groupBy("cluster").agg(F.max_by(F.struct("rep", "component"), F.struct("weight", -F.col("rep"))).alias("c"))
+    centre = centre.select("cluster", F.col("c.rep").alias("centre"), F.col("c.component").alias("home"))
+    own = sets.groupBy("id").agg(F.min("shingles").alias("p"))
+    centre = centre.join(own, F.col("centre") == F.col("id")).drop("id").withColumn("n_p", F.size("p").cast("bigint"))
+    rows = members.join(sets, F.col("rep") == F.col("id")).join(centre, "cluster")
+    differ = F.concat(F.array_except("shingles", "p"), F.array_except("p", "shingles"))
+    rows = rows.select("cluster", "rep", "component", "centre", "home", "n_p", F.size("shingles").cast("bigint").alias("n"), F.xxhash64("shingles").alias("set"), differ.alias("differ"))
+    rows = rows.withColumn("d", F.size("differ").cast("bigint")).withColumn("near", F.col("d") * whole <= (F.col("n") + F.col("n_p")) * gap)
+    rows = stored(rows.withColumn("group", F.when(F.col("near"), F.col("home")).otherwise(F.col("component"))), "differences")
+    links = rows.where("near and rep <> centre").select(F.least("rep", "centre").alias("a"), F.greatest("rep", "centre").alias("b")).distinct()
+
+    outer = F.col("group") != F.col("home")
+    # more than half of the differences, but for unequal sizes, are shared with whatever is unlike the centre
+    shared = F.greatest(F.lit(1), F.floor((F.col("d") * whole + (F.col("n_p") - F.col("n")) * gap) / (2 * whole)) + 1)
+    reach = F.greatest(F.col("d") - shared + 1, F.when(outer, F.floor(F.col("n") * gap / percent) + 1).otherwise(0))
+    single = stored(
+        rows.where("d > 0").select("rep", "set", "group", "n", "d", outer.alias("outer"), reach.alias("reach"), F.explode("differ").alias("e"), "cluster")
+        .withColumn("e", F.xxhash64("cluster", "e")).drop("cluster"), "single-differences",
+    )
+    often = stored(single.groupBy("e").agg(F.count(F.lit(1)).alias("often")), "difference-counts")
+    ranked = join_by_counted_key(single, often, "e", "often").withColumn("r", F.row_number().over(Window.partitionBy("rep", "set").orderBy("often", "e")))
+    first = stored(ranked.where("r <= reach and often > 1").select("e", "rep", "group", "n", "d", "r", "outer"), "first-differences")
+    a, b = first.where("outer").alias("a"), first.alias("b")
+    col = F.col
+    common = F.least(col("a.d") - col("a.r"), col("b.d") - col("b.r")) + 1
+    pairs = a.join(
+        b, (col("a.e") == col("b.e")) & (col("a.group") != col("b.group"))
+        & (F.least("a.n", "b.n") * 100 >= F.greatest("a.n", "b.n") * percent)
+        & (common * 2 * whole >= (col("a.d") + col("b.d")) * whole - (col("a.n") + col("b.n")) * gap),
+    )
+    return links, pairs.select(F.least("a.rep", "b.rep").alias("a"), F.greatest("a.rep", "b.rep").alias("b")).where("a <> b").distinct()
+
+
 def components(links: DataFrame, name: str) -> DataFrame:
     """(id, component) of every id in ``links`` (a, b): the smallest id it reaches.
 
@@ -209,27 +232,26 @@ def near_copy_components(docs: DataFrame, *, shingle_words: int = 5, percent: in
     keyed = stored(keyed, "signature-keys")
     # each bucket's pivot is drawn by hash, so that a group that shares many buckets meets many pivots
     keyed = keyed.withColumn("h", F.xxhash64("key", "rep"))
-    shared = keyed.groupBy("key").agg(F.min("h").alias("low"), F.max("h").alias("high")).where("low < high").select("key", "low")
-    members = stored(keyed.join(shared, "key"), "bucket-members")
+    shared = keyed.groupBy("key").agg(F.min("h").alias("low"), F.max("h").alias("high"), F.count(F.lit(1)).alias("held"))
+    members = stored(keyed.join(shared.where("low < high").select("key", "low", "held"), "key"), "bucket-members")
     pivots = members.where("h = low").select("key", F.col("rep").alias("pivot"))
-    stars = stored(
-        members.join(pivots, "key").where("rep <> pivot").select(F.least("rep", "pivot").alias("a"), F.greatest("rep", "pivot").alias("b")).distinct(),
-        "stars",
-    )
-    links = stored(_confirmed(stars, docs, sizes, shingle_words, percent), "star-links")
+    met = stored(members.join(pivots, "key").select("key", "rep", "pivot", "held"), "bucket-stars")
+    ends = lambda x, y: [F.least(x, y).alias("a"), F.greatest(x, y).alias("b")]
+    stars = stored(met.where("rep <> pivot").select(*ends("rep", "pivot")).distinct(), "stars")
+    wanted = met.select(F.col("rep").alias("id")).distinct()
+    texts = docs.join(broadcast_if_small(wanted, materialize=True), docs["doc_id"] == F.col("id"), "left_semi")
+    sets = stored(texts.select("doc_id", "text").mapInPandas(_sets(shingle_words), "id bigint, shingles array<bigint>"), "candidate-sets")
+    links = stored(_confirmed(stars, sets, sizes, percent), "star-links")
 
     named = components(links, "star-components")
-    labelled = members.join(named, members["rep"] == named["id"], "left").select("key", "rep", F.coalesce("component", "rep").alias("component"))
+    labelled = met.join(named, met["rep"] == named["id"], "left").select("key", "rep", "pivot", "held", F.coalesce("component", "rep").alias("component"))
     mixed = labelled.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi").select("key")
-    open_rows = stored(labelled.join(mixed, "key", "left_semi").join(reps.select("rep", "n_shingles", "signature"), "rep"), "open-buckets")
-    a, b = open_rows.alias("a"), open_rows.alias("b")
-    across = (
-        a.join(b, (F.col("a.key") == F.col("b.key")) & (F.col("a.component") != F.col("b.component")) & (F.col("a.rep") < F.col("b.rep"))
-               & (F.least("a.n_shingles", "b.n_shingles") * 100 >= F.greatest("a.n_shingles", "b.n_shingles") * percent)
-               & (_distance("a.signature", "b.signature") <= farthest(percent)))
-        .select(F.col("a.rep").alias("a"), F.col("b.rep").alias("b")).distinct()
-    )
-    more = _confirmed(across.join(stars, ["a", "b"], "left_anti"), docs, sizes, shingle_words, percent)
+    open_rows = stored(labelled.join(mixed, "key", "left_semi"), "open-buckets")
+    near_by = components(open_rows.select(*ends("rep", "pivot")), "clusters")
+    weighed = open_rows.groupBy("rep").agg(F.min("component").alias("component"), F.sum("held").alias("weight"))
+    clustered = weighed.join(near_by.withColumnRenamed("id", "rep"), "rep", "left").select("rep", weighed["component"], "weight", F.coalesce(near_by["component"], "rep").alias("cluster"))
+    to_centre, across = _unlike_centre(clustered, sets, percent)
+    more = to_centre.unionByName(_confirmed(across.join(stars, ["a", "b"], "left_anti"), sets, sizes, percent))
     copies = full.select("doc_id", "d1", "d2").join(reps.select("d1", "d2", "rep"), ["d1", "d2"]).select("doc_id", "rep").distinct()
     same = copies.where("doc_id <> rep").select(F.col("rep").alias("a"), F.col("doc_id").alias("b"))
     final = components(links.unionByName(more).unionByName(same), "components")
