@@ -1,9 +1,10 @@
 """Spot signatures: chains of content words that follow common words.
 
 A spot is a common word (anchor) with a content word right after it; its signature is the anchor and the next
-:data:`CHAIN` content words. The set of a document's signatures is its fingerprint, likeness is the Jaccard index
-of two sets. Where fewer than a fifth of the content words follow an anchor (lists, tables), every content word
-starts a chain without an anchor. Everything here is DataFrame operations.
+:data:`CHAIN` content words. A content word that follows no anchor starts a chain of content words alone, so lists and
+tables have signatures too, and no signature depends on anything but the words around it: an edit changes those of the
+places it touches and no others. The set of a document's signatures is its fingerprint, likeness is the Jaccard index
+of two sets. Everything here is DataFrame operations.
 """
 
 from __future__ import annotations
@@ -36,15 +37,12 @@ def spots(text: Column) -> Column:
         return F.when(F.size(words) == 0, F.array().cast("array<bigint>")).otherwise(let(content, lambda at: of(words, at)))
 
     def of(words: Column, at: Column) -> Column:
-        every = F.sequence(F.lit(0), F.size(at) - 1)
-        led = F.filter(every, lambda k: F.get(at, k) > F.coalesce(F.get(at, k - 1), F.lit(-1)) + 1)
-        return F.when(F.size(at) == 0, F.array(F.xxhash64(F.concat_ws(" ", words)))).otherwise(
-            let(led, lambda anchored: F.when(
-                F.size(anchored) * 5 < F.size(at), F.transform(every, lambda k: F.xxhash64(*_following(words, at, k)))
-            ).otherwise(
-                F.transform(anchored, lambda k: F.xxhash64(F.get(words, F.get(at, k) - 1), *_following(words, at, k)))
-            ))
-        )
+        def chain(i: Column, k: Column) -> Column:
+            before = F.get(words, i - 1)
+            led = F.coalesce(before.isin(ANCHORS), F.lit(False))
+            return F.xxhash64(F.when(led, before), *_following(words, at, k))
+
+        return F.when(F.size(at) == 0, F.array(F.xxhash64(F.concat_ws(" ", words)))).otherwise(F.transform(at, chain))
 
     words = F.filter(F.split(F.lower(F.coalesce(text, F.lit(""))), _BLANKS), lambda w: w != "")
     found = let(words, chains)
