@@ -3,8 +3,8 @@
 Source *i* with token share s_i gets weight s_i^a / sum_j s_j^a. The exponent *a* is the largest in [0, 1] whose
 weights reach a target entropy, or, where that would repeat some source too often, the smallest that keeps the
 limit. A source's budget is its weight times the token budget: whole epochs first, then the front of a pseudo-random
-permutation of its documents. Without a given token budget no document is repeated: the sources above a common level
-are cut to it, and the level is the highest whose weights reach the target. The permutation is cut into blocks; block sums find the block where the budget ends,
+permutation of its documents. Without a given token budget it is the least that takes every source whole, so the
+largest source comes once and source *i* (s_max / s_i)^(1 - a) times. The permutation is cut into blocks; block sums find the block where the budget ends,
 and only the rows of that block are put in order. Texts are never shuffled for it.
 """
 
@@ -38,16 +38,16 @@ def entropy(weights: list[float]) -> float:
     return -sum(w * math.log(w) for w in weights if w > 0)
 
 
-def solve_exponent(shares: list[float], *, entropy_share: float | None, max_repeats: float | None, epochs: float) -> float:
+def solve_exponent(shares: list[float], *, entropy_share: float | None, max_repeats: float | None, epochs: float | None) -> float:
     """The exponent: entropy falls and the largest repetition falls as it grows, so both are bisected.
 
     ``entropy_share`` is the target as a share of the largest possible entropy; ``epochs`` is the token budget over
-    all tokens. Raises when even the natural shares repeat too often.
+    all tokens, None the least that takes every source whole. Raises when even the natural shares repeat too often.
     """
+    if max_repeats is not None and (1.0 if epochs is None else epochs) > max_repeats + 1e-9:
+        raise ValueError("the budget repeats the sources more often than allowed")
     live = [s for s in shares if s > 0]
     if len(live) < 2:
-        if live and max_repeats is not None and epochs > max_repeats + 1e-9:
-            raise ValueError("the budget repeats the only source more often than allowed")
         return 1.0
 
     def largest_true(good) -> float:  # good holds from 0 up to the answer
@@ -64,37 +64,18 @@ def solve_exponent(shares: list[float], *, entropy_share: float | None, max_repe
         target = entropy_share * math.log(len(live))
         exponent = largest_true(lambda a: entropy(weights_at(live, a)) >= target - 1e-12)
     if max_repeats is not None:
-        if epochs > max_repeats + 1e-9:
-            raise ValueError("the budget repeats the sources more often than allowed")
-        repeats = lambda a: max(w * epochs / s for w, s in zip(weights_at(live, a), live, strict=True))
+        repeats = lambda a: max(repetitions(live, weights_at(live, a), epochs))
         if repeats(exponent) > max_repeats:
             # from above: the largest distance from 1 that keeps the limit
             exponent = 1.0 - largest_true(lambda d: repeats(1.0 - d) <= max_repeats + 1e-12)
     return exponent
 
 
-def largest_budget(shares: list[float], entropy_share: float | None) -> tuple[list[float], float]:
-    """(weights, epochs) of the largest token budget that reaches the target entropy and repeats nothing.
-
-    Among all budgets of that entropy, the one that keeps most cuts the largest sources to one common level and
-    leaves the others whole. Natural shares that reach the target stay as they are, with all tokens.
-    """
-    live = [s for s in shares if s > 0]
-    if not live:
-        return [0.0] * len(shares), 1.0
-    at = lambda level: [min(s, level) for s in live]
-    level = max(live)
-    if entropy_share is not None:
-        target = entropy_share * math.log(len(live))
-        reached = lambda c: entropy([x / sum(at(c)) for x in at(c)]) >= target - 1e-12
-        if not reached(level):
-            low, high = min(live), level  # at the smallest share all are equal
-            for _ in range(60):
-                mid = (low + high) / 2
-                low, high = (mid, high) if reached(mid) else (low, mid)
-            level = low
-    epochs = math.fsum(at(level))
-    return [min(s, level) / epochs for s in shares], epochs
+def repetitions(shares: list[float], weights: list[float], epochs: float | None) -> list[float]:
+    """How often the tokens of each source come in a budget of ``epochs``, or in the least that takes all whole."""
+    ratios = [w / s for w, s in zip(weights, shares, strict=True) if s > 0]
+    scale = 1.0 / min(ratios, default=1.0) if epochs is None else epochs
+    return [r * scale for r in ratios]
 
 
 def _place(seed: int, epoch: Column) -> Column:
@@ -110,7 +91,7 @@ def mix(
     """``docs`` in the mixture, with ``mix_tokens``, ``mix_weight``, ``mix_epoch``, ``mix_block`` and ``mix_order``.
 
     A document appears once per epoch it is in, perhaps not at all. Budgets are met to within the document at the
-    cut; without ``epochs`` the budget is the largest that reaches the target and repeats nothing. A target that the
+    cut; without ``epochs`` the budget is the least that loses no document. A target that the
     limit on repeats keeps out of reach is warned of, with the entropy reached. Sorting by ``mix_order`` gives the mixed order: blocks of all sources interleaved at random, each permuted.
     Null source is a source; documents without tokens cost nothing and are in every epoch of their source, also when
     no document has tokens; repeated rows count each and stay together at a cut. An empty table gives an empty
@@ -124,10 +105,9 @@ def mix(
     )
     total = sum(r["tokens"] for r in sources)
     shares = [r["tokens"] / total if total else 0.0 for r in sources]
+    weights = weights_at(shares, solve_exponent(shares, entropy_share=entropy_share, max_repeats=max_repeats, epochs=epochs))
     if epochs is None:
-        weights, epochs = largest_budget(shares, entropy_share)
-    else:
-        weights = weights_at(shares, solve_exponent(shares, entropy_share=entropy_share, max_repeats=max_repeats, epochs=epochs))
+        epochs = max((s / w for s, w in zip(shares, weights, strict=True) if w > 0), default=1.0)
     most = math.log(max(1, sum(w > 0 for w in weights)))
     if entropy_share is not None and entropy(weights) < entropy_share * most - 1e-9:
         warnings.warn(f"the mixture reaches an entropy share of {entropy(weights) / most:.4f}, not {entropy_share}", stacklevel=2)

@@ -122,26 +122,37 @@ def test_mix_of_odd_documents(spark, odd_docs, no_docs):
     assert same.count() == odd_docs.count()
 
 
-def test_largest_budget_loses_nothing_it_need_not():
+def test_least_whole_budget():
     even = [0.06] * 10 + [0.04] * 10
-    assert temperature_mix.largest_budget(even, 0.97) == (pytest.approx(even), pytest.approx(1.0))
+    assert temperature_mix.solve_exponent(even, entropy_share=0.97, max_repeats=4.0, epochs=None) == 1.0
     hot = [1 / 3] + [1 / 30] * 20
-    weights, epochs = temperature_mix.largest_budget(hot, 0.97)
+    a = temperature_mix.solve_exponent(hot, entropy_share=0.97, max_repeats=4.0, epochs=None)
+    weights = temperature_mix.weights_at(hot, a)
     assert temperature_mix.entropy(weights) == pytest.approx(0.97 * math.log(21), abs=1e-9)
-    assert [w * epochs for w in weights[1:]] == pytest.approx(hot[1:]) and weights[0] * epochs < hot[0]
+    times = temperature_mix.repetitions(hot, weights, None)
+    assert times == pytest.approx([1.0] + [10 ** (1 - a)] * 20) and times[1] < 4
+    tight = temperature_mix.solve_exponent(hot, entropy_share=0.97, max_repeats=1.5, epochs=None)
+    assert 10 ** (1 - tight) == pytest.approx(1.5, abs=1e-6)
+    with pytest.raises(ValueError):
+        temperature_mix.solve_exponent(hot, entropy_share=None, max_repeats=0.5, epochs=None)
 
 
-def test_pipeline_mixing_keeps_all_or_reaches_its_target(spark):
+def test_pipeline_mixing_loses_nothing_and_reaches_its_target(spark, no_docs):
     import corpus_pipeline
 
     docs = table(spark, SF, "documents")
     assert corpus_pipeline.mix_sources(spark, docs, SF).count() == docs.count()
     rows = [(i, "one two three four five", "en", "hot" if i < 500 else f"s{i % 20}", 23) for i in range(1500)]
     mixed = corpus_pipeline.mix_sources(spark, spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string, n_chars bigint"), SF)
-    kept = {r["source"]: r["count"] for r in mixed.groupBy("source").count().collect()}
-    share = [n / sum(kept.values()) for n in kept.values()]
-    assert temperature_mix.entropy(share) >= 0.97 * math.log(21) - 0.001
-    assert all(n == 50 for s, n in kept.items() if s != "hot")
+    times = {r["doc_id"]: r["count"] for r in mixed.groupBy("doc_id").count().collect()}
+    assert set(times) == set(range(1500)) and max(times.values()) <= 4 and all(times[i] == 1 for i in range(500))
+    got = {r["source"]: r["count"] for r in mixed.groupBy("source").count().collect()}
+    # by brute force: the budgets of the largest exponent, in thousandths, that reaches the target
+    shares = [500 / 1500] + [50 / 1500] * 20
+    reaches = lambda a: temperature_mix.entropy([s**a / sum(x**a for x in shares) for s in shares]) >= 0.97 * math.log(21)
+    a = max(k / 1000 for k in range(1001) if reaches(k / 1000))
+    assert all(abs(n - 50 * 10 ** (1 - a)) <= 1.5 for s, n in got.items() if s != "hot")
+    assert corpus_pipeline.mix_sources(spark, docs.limit(0), SF).count() == 0
 
 
 def test_mix_tells_a_missed_target(spark):
