@@ -1,48 +1,106 @@
 """Whole-text token ids through the tokenizers library.
 
-A byte-level vocabulary never joins a space to the word before it, so a text may be cut before every single
-space that stands between two visible characters, and the pieces encode to the same ids as the whole. Words
-repeat, so each worker keeps the ids of the words it has met (at most :data:`CACHE_WORDS`) and asks the
-library only for new ones.
+A byte-level vocabulary with its usual splitting rule never joins certain neighbours: a visible character and the
+single space or line end after it, or a Latin letter and the mark after it. So texts are cut there, by numpy over
+their UTF-8 bytes, and the pieces encode to the same ids as the whole. Arrow numbers the distinct pieces of a slice of
+texts, only those are looked up, and the library is asked only for pieces that the worker has not met lately. A
+vocabulary with any other splitting rule is given whole texts.
 """
 
 from __future__ import annotations
 
+import json
 import os
 import re
+from pathlib import Path
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 
-# Entries of the word cache of one worker, about 200 bytes each; a full cache is emptied.
-CACHE_WORDS = 700_000
+# Pieces that a worker remembers, about 150 bytes each, in two generations of half as many: when the younger is full
+# it becomes the older, whose pieces stay only if they are met again.
+CACHE_PIECES = 700_000
 # Longer pieces are encoded each time.
 CACHE_CHARS = 48
 
 # Fixed value: how byte-level vocabularies write a space.
-_SPACE = "\u0120"
+_SPACE = "Ġ"
+# Marks that never join the letter before them (an apostrophe may), and white space beyond ASCII.
+_MARKS = b"!#$%&)*,.:;?|"
+_WIDE_SPACES = "\u0085                 　"
+_ASCII_SPACES = b"\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f "
+# Stands between texts: white space, so that no cut is made at a text's own end.
+_GAP = b"   "
 _BLANK = re.compile(r"\s")
-# Marks that never join the letters before them, and the end of the letters this is used for.
-_MARKS = "!#$%&)*,.:;?|"
-_LATIN_END = "\u0250"
-_LINES = re.compile(r"\S+(?:\n\S+)+")
-_CUT = re.compile(r" (?=\S)(?<=\S )")
 _ENCODERS: dict[str, "TextEncoder"] = {}
 
 
-def byte_bpe_path() -> str:
-    return public_tokenizers.path("byte_bpe_50k.json")
+def _byte_set(octets: bytes) -> np.ndarray:
+    """A truth value per byte."""
+    flags = np.zeros(256, dtype=bool)
+    flags[list(octets)] = True
+    return flags
+
 
+_IS_SPACE = _byte_set(_ASCII_SPACES)
+_IS_MARK = _byte_set(_MARKS)
+_IS_LETTER = _byte_set(bytes(x for x in range(128) if chr(x).isalpha()))
+_WIDE_CODES = np.array([int.from_bytes(c.encode(), "big") for c in _WIDE_SPACES])
 
-def _loose(word: str) -> bool:
-    """Whether a word is empty or has white space at an end."""
-    return not word or word.strip() != word
 
+def byte_bpe_path() -> str:
+    return public_tokenizers.path("byte_bpe_50k.json")
 
-def _take_heads(cut: list[list[str]]) -> tuple[list[str], set[str]]:
-    """The first word of each text, taken out, and the set of all the others."""
-    heads = [words.pop(0) for words in cut]
-    return heads, set().union(*cut)
+
+def _wide_space(b: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """Whether white space of two or three bytes begins at these places; three bytes follow each."""
+    pair = b[first].astype(np.int64) << 8 | b[first + 1]
+    return np.isin(pair, _WIDE_CODES) | np.isin(pair << 8 | b[first + 2], _WIDE_CODES)
+
+
+def _after_letter(b: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Whether the character before these places is an ASCII letter or one of U+00C0 to U+024F, all letters but two."""
+    last, lead = b[at - 1], b[at - 2]
+    latin = (lead >= 0xC3) & (lead <= 0xC9) & (last >= 0x80) & ~((lead == 0xC9) & (last >= 0x90))
+    return _IS_LETTER[last] | latin & ~((lead == 0xC3) & ((last == 0x97) | (last == 0xB7)))
+
+
+def piece_bounds(b: np.ndarray, edges: np.ndarray) -> np.ndarray:
+    """Ascending byte places of all cuts, with ``edges`` (the texts' own ends) and both ends of ``b``.
+
+    ``b`` begins and ends with white space of three bytes, as any two texts have between them.
+    """
+    cut = np.zeros(len(b) + 1, dtype=bool)
+    cut[edges] = True
+    cut[[0, len(b)]] = True
+    at = np.flatnonzero((b == 0x20) | (b == 0x0A))
+    at = at[(at > 2) & (at < len(b) - 3)]
+    at = at[~(_IS_SPACE[b[at - 1]] | _IS_SPACE[b[at + 1]])]
+    before, after = b[at - 1] >= 0x80, b[at + 1] >= 0x80
+    wide = np.zeros(len(at), dtype=bool)
+    wide[after] = _wide_space(b, at[after] + 1)
+    # white space of three bytes begins three places back, of two bytes two: its third byte is then the place itself
+    wide[before] |= _wide_space(b, at[before] - 3) | np.isin(b[at[before] - 2].astype(np.int64) << 8 | b[at[before] - 1], _WIDE_CODES)
+    at = at[~wide]
+    cut[at] = True
+    cut[at[b[at] == 0x0A] + 1] = True
+    at = np.flatnonzero(_IS_MARK[b])
+    cut[at[_after_letter(b, at)]] = True
+    return np.flatnonzero(cut)
+
+
+def _splits_as_known(path: str) -> bool:
+    """Whether a vocabulary file splits texts by the byte-level rule that the cuts rely on."""
+    known = json.loads(Path(path).read_text(encoding="utf-8"))
+    rule = known.get("pre_tokenizer") or {}
+    return (
+        rule.get("type") == "ByteLevel"
+        and rule.get("use_regex", True)
+        and not rule.get("add_prefix_space")
+        and known.get("normalizer") is None
+        and all(t.get("special") for t in known.get("added_tokens") or [])
+    )
 
 
 class TextEncoder:
@@ -54,103 +112,85 @@ class TextEncoder:
 
         self._library = Tokenizer.from_file(path)
         self._library.encode_special_tokens = True
+        self._cuts = _splits_as_known(path)
         vocabulary = self._library.get_vocab()
         self._opens = np.zeros(max(vocabulary.values(), default=0) + 1, dtype=bool)
         self._opens[[i for token, i in vocabulary.items() if token.startswith(_SPACE)]] = True
-        self._line_end = self._library.encode("\n", add_special_tokens=False).ids[0]
-        self._line_end_bytes = self._line_end.to_bytes(4, "little")
-        self._first: dict[str, bytes] = {}
-        self._later: dict[str, bytes] = {}
-        self._marks: dict[str, bytes] = {}
+        line_end = self._library.encode("\n", add_special_tokens=False).ids
+        self._line_end = line_end[0] if len(line_end) == 1 else None
+        self._young: dict[str, bytes] = {}
+        self._old: dict[str, bytes] = {}
 
     def _ids(self, texts: list[str]) -> list[bytes]:
         """Each text on its own."""
         found = self._library.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(one.ids, dtype="<u4").tobytes() for one in found]
 
-    def _joined_ids(self, words: list[str], between: str) -> list[bytes]:
-        """Ids of words without white space, encoded together and parted again.
-
-        After a space, a word's first token opens with it; after a line end, which is a token of its own, it doesn't.
+    def _joined_ids(self, pieces: list[str], *, spaced: bool) -> list[bytes]:
+        """Ids of pieces without white space, but for one space before each if ``spaced``, encoded together and parted
+        again: a space opens the first token of its piece, a line end put between the others is a token of its own.
         """
         out: list[bytes] = []
-        space = between == " "
-        for at in range(0, len(words), 4096):
-            block = words[at : at + 4096]
-            text = between.join(block)
-            ids = np.array(self._library.encode_batch_fast([" " + text if space else text], add_special_tokens=False)[0].ids, dtype="<u4")
-            starts = np.flatnonzero(self._opens[ids] if space else ids == self._line_end).tolist()
-            if len(starts) != len(block) - (not space):
+        for at in range(0, len(pieces), 4096):
+            block = pieces[at : at + 4096]
+            text = ("" if spaced else "\n").join(block)
+            ids = np.array(self._library.encode_batch_fast([text], add_special_tokens=False)[0].ids, dtype="<u4")
+            starts = np.flatnonzero(self._opens[ids] if spaced else ids == self._line_end)
+            if len(starts) != len(block) - (not spaced):
                 raise ValueError("this vocabulary joins white space to the word before it")
             octets = ids.tobytes()
-            ends = [*starts[1:], len(ids)] if space else [*starts, len(ids)]
-            firsts = starts if space else [0, *(i + 1 for i in starts)]
-            out += [octets[4 * i : 4 * j] for i, j in zip(firsts, ends, strict=True)]
+            ends = [*(4 * starts[spaced:]).tolist(), len(octets)]
+            firsts = (4 * starts).tolist() if spaced else [0, *(4 * starts + 4).tolist()]
+            out += [octets[i:j] for i, j in zip(firsts, ends, strict=True)]
         return out
 
-    def _learn(self, cache: dict[str, bytes], words: list[str], between: str) -> None:
-        """Add words without white space to a cache; a word of letters is encoded once for all marks after it."""
-        marked, whole = [], set()
-        for w in words:
-            stem = w.rstrip(_MARKS)
-            if len(stem) < len(w) and stem.isalpha() and max(stem) < _LATIN_END:
-                marked.append((w, stem, w[len(stem) :]))
-                if stem not in cache:
-                    whole.add(stem)
+    def _look_up(self, pieces: list[str]) -> list[bytes]:
+        """Ids of distinct pieces."""
+        if len(self._young) > CACHE_PIECES // 2:
+            self._old, self._young = self._young, {}
+        young, old = self._young, self._old
+        missing = [p for p in pieces if p not in young]
+        spaced, bare, alone = [], [], []
+        for p in missing:
+            if p in old:
+                young[p] = old[p]
+            elif p[0] == " " and len(p) > 1 and not _BLANK.search(p, 1):
+                spaced.append(p)
+            elif self._line_end is not None and not _BLANK.search(p):
+                bare.append(p)
             else:
-                whole.add(w)
-        new = list(whole)
-        cache.update(zip(new, self._joined_ids(new, between), strict=True))
-        marks = list({end for _, _, end in marked if end not in self._marks})
-        self._marks.update(zip(marks, self._ids(marks), strict=True))
-        for w, stem, end in marked:
-            cache[w] = cache[stem] + self._marks[end]
+                alone.append(p)
+        young.update(zip(spaced, self._joined_ids(spaced, spaced=True), strict=True))
+        young.update(zip(bare, self._joined_ids(bare, spaced=False), strict=True))
+        young.update(zip(alone, self._ids(alone), strict=True))
+        found = [young[p] for p in pieces]
+        for p in missing:
+            if len(p) > CACHE_CHARS:
+                del young[p]
+        return found
 
     def encode_many(self, texts: list[str]) -> list[bytes]:
-        first, later = self._first, self._later
-        if len(first) + len(later) > CACHE_WORDS:
-            first.clear()
-            later.clear()
-        # most texts may be cut at every space; the others show by a word that is empty or has white space at an end
-        cut = [t.split(" ") for t in texts]
-        heads, used = _take_heads(cut)
-        later_new, more = [w for w in used if w not in later], set()
-        odd = {w for w in later_new if not w or w.strip() != w}
-        again = [i for i, words in enumerate(cut) if words and (_loose(heads[i][-1:]) or odd and not odd.isdisjoint(words))]
-        if again:
-            for i in again:
-                cut[i] = _CUT.split(texts[i])
-            redone, more = _take_heads([cut[i] for i in again])
-            for i, head in zip(again, redone, strict=True):
-                heads[i] = head
-            later_new = list(set(later_new).difference(odd).union(w for w in more if w not in later))
-        first_new = {w for w in heads if w not in first}
-        plain, lines, other = [], [], []
-        for w in later_new:
-            if not _BLANK.search(w):
-                plain.append(w)
-            elif _LINES.fullmatch(w):
-                lines.append((w, w.split("\n")))
-            else:
-                other.append(w)
-        needed = {p for _, parts in lines for p in parts[1:]}
-        alone = [w for w in first_new if not w or _BLANK.search(w)]
-        self._learn(first, [w for w in (first_new | needed) - set(alone) if w not in first], "\n")
-        self._learn(later, plain + list({parts[0] for _, parts in lines if parts[0] not in later}.difference(plain)), " ")
-        first.update(zip(alone, self._ids(alone), strict=True))
-        later.update(zip(other, self._ids([" " + w for w in other]), strict=True))
-        end = self._line_end_bytes
-        for w, parts in lines:
-            later[w] = later[parts[0]] + b"".join([end + first[p] for p in parts[1:]])
-        out = [first[head] + b"".join(map(later.__getitem__, words)) for head, words in zip(heads, cut, strict=True)]
-        for cache, words in ((first, first_new), (later, later_new)):
-            for w in words:
-                if len(w) > CACHE_CHARS:
-                    cache.pop(w, None)
-        for w in more:
-            if _loose(w):  # in the cache it would hide an odd cut
-                later.pop(w, None)
-        return out
+        """The ids of each text; all texts together are below 2 GB, as one slice of a batch is."""
+        if not self._cuts:
+            return self._ids(texts)
+        octets = [t.encode() for t in texts]
+        data = b"".join([_GAP, _GAP.join(octets), _GAP])
+        sizes = np.fromiter(map(len, octets), np.int64, len(octets))
+        ends = np.cumsum(sizes + len(_GAP))
+        firsts = ends - sizes
+        bounds = piece_bounds(np.frombuffer(data, dtype=np.uint8), np.concatenate([firsts, ends]))
+        pieces = pa.StringArray.from_buffers(len(bounds) - 1, pa.py_buffer(bounds.astype(np.int32)), pa.py_buffer(data)).dictionary_encode()
+        which = pieces.indices.to_numpy()
+        known = self._look_up(pieces.dictionary.to_numpy(zero_copy_only=False).tolist())
+        flat = np.frombuffer(b"".join(known), dtype="<u4")
+        counts = np.fromiter(map(len, known), np.int64, len(known)) // 4
+        opened = np.cumsum(counts) - counts
+        per_piece = counts[which]
+        place = np.concatenate([[0], np.cumsum(per_piece)])
+        ids = flat[np.repeat(opened[which] - place[:-1], per_piece) + np.arange(place[-1])].tobytes()
+        lows = 4 * place[np.searchsorted(bounds, firsts)]
+        highs = 4 * place[np.searchsorted(bounds, ends)]
+        return [ids[i:j] for i, j in zip(lows.tolist(), highs.tolist(), strict=True)]
 
 
 def encoder(path: str) -> TextEncoder:

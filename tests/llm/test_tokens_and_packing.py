@@ -1,7 +1,9 @@
 """Planes and packing against the tokenizer library and plain Python."""
 
+import json
 import zlib
 from collections import defaultdict
+from pathlib import Path
 
 import numpy as np
 import pytest
@@ -32,6 +34,36 @@ def test_encoder_equals_the_library(spark, plain_ids):
             assert np.frombuffer(ids, dtype="<u4").tolist() == plain_ids(text)
 
 
+def test_encoder_of_odd_neighbours(plain_ids):
+    rng = np.random.default_rng(5)
+    parts = [*" \n\t\u00a0\u2009\u3000\x1c\x85\r", *"abZé×÷ßǅɏɐʰ漢ñ١7'.,!)(\"#*-_|", "'s", "'ll", " ", "\n", " "]
+    texts = ["".join(rng.choice(parts, rng.integers(0, 40))) for _ in range(4000)]
+    e = tokens.TextEncoder(tokens.byte_bpe_path())
+    for at in (0, 500, 501, 4000):  # alone, together, and again from the pieces remembered
+        for text, ids in zip(texts[:at] or texts[:1], e.encode_many(texts[:at] or texts[:1]), strict=True):
+            assert np.frombuffer(ids, dtype="<u4").tolist() == plain_ids(text), repr(text)
+
+
+def test_encoder_forgets_old_pieces_and_keeps_ids(plain_ids, monkeypatch):
+    monkeypatch.setattr(tokens, "CACHE_PIECES", 8)
+    e = tokens.TextEncoder(tokens.byte_bpe_path())
+    for turn in range(30):
+        text = f"same words, new w{turn} and x{turn // 3}.\nEnd"
+        assert np.frombuffer(e.encode_many([text])[0], dtype="<u4").tolist() == plain_ids(text)
+        assert len(e._young) < 30
+
+
+def test_other_splitting_rules_get_whole_texts(tmp_path):
+    known = json.loads(Path(tokens.byte_bpe_path()).read_text(encoding="utf-8"))
+    known["pre_tokenizer"]["use_regex"] = False  # pieces may now join a space to the word before it
+    path = tmp_path / "other.json"
+    path.write_text(json.dumps(known), encoding="utf-8")
+    texts = ["a b. c\nd", "of the, of the"]
+    library = Tokenizer.from_file(str(path))
+    for text, ids in zip(texts, tokens.TextEncoder(str(path)).encode_many(texts), strict=True):
+        assert np.frombuffer(ids, dtype="<u4").tolist() == library.encode(text, add_special_tokens=False).ids
+
+
 @pytest.mark.parametrize("unit", ["bit", "byte"])
 def test_planes_round_trip(unit):
     ids = np.random.default_rng(0).integers(0, 2**32, 1001, dtype=np.uint64).astype("<u4")
