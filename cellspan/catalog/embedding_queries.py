@@ -14,6 +14,7 @@ from cellspan.operators import quality as Q
 from cellspan.catalog.interval_queries import _COUNTS, region_counts, stored_counts
 from cellspan.catalog.methylation_queries import scores
 from cellspan.plans.guards import checked
+from cellspan.plans.storage import cut_lineage
 
 add = registry.add
 
@@ -113,6 +114,23 @@ def m16(t):
     return G.graph_communities(edges, t.embedding.select("cell_id"), 5)
 
 
+@add("m16_modularity", duck("""
+select g resolution, round(sum(i) / sum(w) - g * sum(w * w) / (sum(w) * sum(w)), 6) modularity
+from (select a.lab, sum(w) w, sum(case when a.lab = b.lab then w else 0 end) i from me join l5 a on a.node = src join l5 b on b.node = dst group by 1)
+cross join (select unnest([0.5::double, 0.8, 1.0, 2.0]) g) group by 1""", ctes=_LP))
+def m16_modularity(t):
+    """How good the propagated communities are, at four resolutions."""
+    edges = N.mutual_edges(N.knn(t.embedding.select("cell_id", "vec"), 15))
+    found = G.graph_communities(edges, t.embedding.select("cell_id"), 5)
+    return r(G.modularity(edges, found, [0.5, 0.8, 1.0, 2.0]), 6, "modularity")
+
+
+@add("m16_modular_communities")
+def m16_modular(t):
+    edges = cut_lineage(N.mutual_edges(N.knn(t.embedding.select("cell_id", "vec"), 15)))
+    return G.modular_communities(edges, t.embedding.select("cell_id"), resolution=0.8)
+
+
 @add("m17_consensus_communities")
 def m17(t):
     edges = N.mutual_edges(N.knn(t.embedding.select("cell_id", "vec"), 15))
