@@ -14,7 +14,6 @@ from cellspan.operators import quality as Q
 from cellspan.catalog.interval_queries import _COUNTS, region_counts, stored_counts
 from cellspan.catalog.methylation_queries import scores
 from cellspan.plans.guards import checked
-from cellspan.plans.storage import cut_lineage
 
 add = registry.add
 
@@ -125,12 +124,6 @@ def m16_modularity(t):
     return r(G.modularity(edges, found, [0.5, 0.8, 1.0, 2.0]), 6, "modularity")
 
 
-@add("m16_modular_communities")
-def m16_modular(t):
-    edges = cut_lineage(N.mutual_edges(N.knn(t.embedding.select("cell_id", "vec"), 15)))
-    return G.modular_communities(edges, t.embedding.select("cell_id"), resolution=0.8)
-
-
 @add("m17_consensus_communities")
 def m17(t):
     edges = N.mutual_edges(N.knn(t.embedding.select("cell_id", "vec"), 15))
