@@ -38,17 +38,19 @@ class DifferentialMatrix:
 def feature_matrix(
     site_rows: DataFrame, candidates: DataFrame, chrom_order: DataFrame, blacklist: DataFrame, cell_table: DataFrame,
     annotation: DataFrame, *, n: int, context: str = "CGN", blacklist_fraction: float = 0.2, floor_percent: float = 5.0,
+    exact: bool = True,
 ) -> FeatureMatrix:
     """Canonical, blacklist-free, numbered regions; integer counts; the ``n`` best regions; annotated cells.
 
     ``candidates`` is ``chrom, start, end, peak_var, n_cpg, n_obs_cells`` and must be disjoint
-    (``intervals.overlapping_pairs_check``). An invalid site count stops the route.
+    (``intervals.overlapping_pairs_check``). An invalid site count stops the route, and so do fewer than ``n`` eligible regions
+    unless ``exact`` is off.
     """
     kept = intervals.remove_blacklisted(intervals.canonical_chroms(candidates, chrom_order), blacklist, blacklist_fraction)
     numbered = cut_lineage(intervals.number_features(kept, chrom_order, "VMR_%06d").drop("feature_rank"))
     usable = sites.guarded_sites(sites.context_filter(site_rows, context, "dinucleotide"), "count")
     counts = checked(intervals.count_over_regions(usable.watched, numbered), usable)
-    var = features.rank_regions(features.with_coverage(counts, numbered), cell_table, n, floor_percent=floor_percent)
+    var = features.rank_regions(features.with_coverage(counts, numbered), cell_table, n, floor_percent=floor_percent, exact=exact)
     return FeatureMatrix(counts.join(var.select("feature_id"), "feature_id", "left_semi"), var, cells.annotate_obs(cell_table, annotation))
 
 
