@@ -207,7 +207,7 @@ prev as (select feature_id, count(*) hypo_cells from hs where score >= 0.95 grou
 
 
 def scores(t):
-    counts = I.count_over_bins(S.context_filter(t.sites), I.tile_genome(t.chrom_order, 1000), 1000)
+    counts = I.count_over_bins(S.context_filter(t.sites), I.tile_genome(t.genome, 1000), 1000)
     return M.hypo_score(counts)
 
 
@@ -227,7 +227,7 @@ hs as (select cell_id, feature_id, mc, cov, case when mc >= cov or p <= 0 then 0
 
 @add("m6_hypo_score_deep", duck("select cell_id, feature_id, mc, cov, round(score, 6) score from hs where score >= 0.9", "cg", ctes=_DEEP))
 def m6_deep(t):
-    counts = I.count_over_bins(S.context_filter(t.sites), I.tile_genome(t.chrom_order, 1000), 1000)
+    counts = I.count_over_bins(S.context_filter(t.sites), I.tile_genome(t.genome, 1000), 1000)
     deep = counts.withColumn("mc", F.col("cov") * 40 - (F.col("cov") - F.col("mc"))).withColumn("cov", F.col("cov") * 40)
     return M.hypo_score(deep).withColumn("score", F.round("score", 6))
 
