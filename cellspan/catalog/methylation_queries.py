@@ -211,9 +211,14 @@ def scores(t):
     return M.hypo_score(counts)
 
 
-@add("m6_hypo_score", duck("select cell_id, feature_id, mc, cov, round(score, 6) score from hs where score >= 0.9", "cg", ctes=_HYPO))
+def rounded_score(df):
+    """Six digits, halves up: rates like 11/20 give scores on a half, where the sums' own rounding would decide."""
+    return df.withColumn("score", F.round(F.col("score") + 1e-10, 6))
+
+
+@add("m6_hypo_score", duck("select cell_id, feature_id, mc, cov, round(score + 1e-10, 6) score from hs where score >= 0.9", "cg", ctes=_HYPO))
 def m6(t):
-    return scores(t).withColumn("score", F.round("score", 6))
+    return rounded_score(scores(t))
 
 
 # forty times the reads, and rates near one
@@ -225,11 +230,11 @@ hs as (select cell_id, feature_id, mc, cov, case when mc >= cov or p <= 0 then 0
  lambda i: exp(lgamma(cov+1) - lgamma(i+1) - lgamma(cov-i+1) + i*ln(p) + (cov-i)*ln(1-p)))) end score from br)"""
 
 
-@add("m6_hypo_score_deep", duck("select cell_id, feature_id, mc, cov, round(score, 6) score from hs where score >= 0.9", "cg", ctes=_DEEP))
+@add("m6_hypo_score_deep", duck("select cell_id, feature_id, mc, cov, round(score + 1e-10, 6) score from hs where score >= 0.9", "cg", ctes=_DEEP))
 def m6_deep(t):
     counts = I.count_over_bins(S.context_filter(t.sites), I.tile_genome(t.genome, 1000), 1000)
     deep = counts.withColumn("mc", F.col("cov") * 40 - (F.col("cov") - F.col("mc"))).withColumn("cov", F.col("cov") * 40)
-    return M.hypo_score(deep).withColumn("score", F.round("score", 6))
+    return rounded_score(M.hypo_score(deep))
 
 
 @add("a4_hypo_prevalence", duck("select * from prev", "cg", ctes=_HYPO))
