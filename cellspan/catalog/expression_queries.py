@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from cellspan.catalog.base import duck, registry
 from cellspan.operators import expression as X
 from cellspan.operators import features as FT
+from cellspan.plans.storage import cut_lineage, stored
 
 add = registry.add
 
@@ -16,14 +17,19 @@ _LOG = """
 lg as (select *, ln(1 + "count"*10000.0/sum("count") over (partition by cell_id)) v from rna)"""
 
 
+def values(t):
+    """Normalised counts, derived once: the genes, moments, ranks and cells of a query are further readings."""
+    return stored(X.normalize_log1p(t.rna))
+
+
 def r(df, digits, *columns):
     for c in columns:
         df = df.withColumn(c, F.round(c, digits))
     return df
 
 
-def clusters(t):
-    return t.rna.select("cell_id", F.col("cell_type").alias("cluster")).distinct()
+def clusters(rna):
+    return rna.select("cell_id", F.col("cell_type").alias("cluster")).distinct()
 
 
 @add("a7_rna_cell_metrics", duck("select cell_id, sample_id, n_genes_by_counts, total_counts, round(pct_counts_mt, 6) pct_counts_mt, round(pct_counts_ribo, 6) pct_counts_ribo from met", "rna", ctes=_MET))
@@ -55,7 +61,8 @@ def a8(t):
 select cell_type "cluster", count(*) cells, round(median(n_genes_by_counts), 6) median_n_genes_by_counts, round(median(total_counts), 6) median_total_counts, round(median(pct_counts_mt), 6) median_pct_counts_mt
 from met group by 1""", "rna", ctes=_MET))
 def a11(t):
-    cells = X.cell_metrics(t.rna).join(clusters(t), "cell_id")
+    t.store("rna")
+    cells = X.cell_metrics(t.rna).join(clusters(t.rna), "cell_id")
     ms = ["n_genes_by_counts", "total_counts", "pct_counts_mt"]
     return r(X.cluster_qc(cells, "cluster", ms), 6, *[f"median_{m}" for m in ms])
 
@@ -85,7 +92,7 @@ sel as (select *, row_number() over (order by n_samples desc, score desc, gene)
 
 @add("m8_highly_variable_genes", duck("select * from sel", "rna", ctes=_HVG.format(n=60)))
 def m8(t):
-    return X.highly_variable_genes(X.normalize_log1p(t.rna), 60)
+    return X.highly_variable_genes(values(t), 60)
 
 
 def _long(vectors):
@@ -97,9 +104,8 @@ select cell_id, i, round(least(10, (coalesce(v, 0) - m)/sd), 5) z from (select d
 cross join (select gene, row_number() over (order by gene) - 1 i, s/n m, sqrt((q - s*s/n)/(n-1)) sd from (select gene, sum(v) s, sum(v*v) q, (select count(distinct cell_id)::double from rna) n from lg where gene in (select gene from sel) group by 1)) g
 left join lg using (cell_id, gene)""", "rna", ctes=_HVG.format(n=30)))
 def m10(t):
-    values = X.normalize_log1p(t.rna)
-    cells = t.rna.select("cell_id").distinct()
-    return _long(X.scale_genes(values, cells, X.highly_variable_genes(values, 30)))
+    v = values(t)
+    return _long(X.scale_genes(v, v.select("cell_id").distinct(), X.highly_variable_genes(v, 30)))
 
 
 @add("m9_regress_out", duck("""
@@ -112,8 +118,8 @@ cross join (select gene, row_number() over (order by gene) - 1 i, regr.* from (
    covar_pop(total_counts, pct_counts_mt)*count(*) sab from met) where gene in (select gene from sel) group by 1) regr) g
 left join lg using (cell_id, gene)""".replace("regr.* from (", "my, ma, mb, ba, bb from ("), "rna", ctes=_HVG.format(n=10) + "," + _MET))
 def m9(t):
-    values = X.normalize_log1p(t.rna)
-    return _long(X.regress_out(values, X.cell_metrics(t.rna), X.highly_variable_genes(values, 10)))
+    v = values(t)
+    return _long(X.regress_out(v, cut_lineage(X.cell_metrics(v)), X.highly_variable_genes(v, 10)))
 
 
 _PANELS = {"mito": ["MT-1", "MT-2", "MT-5"], "ribo": ["RPL20", "RPL30", "RPL40"], "low": ["GENE70", "GENE80", "GENE90"], "mid": ["GENE130", "GENE150"], "high": ["GENE200", "GENE250", "GENE290", "ABSENT"]}
@@ -130,12 +136,14 @@ def panel_genes(t):
 
 @add("a17_dotplot_stats", duck("""select "cluster", gene, round(fraction, 6) fraction, round(mean_value, 6) mean_value from gm""", "rna", ctes=_GM))
 def a17(t):
-    return r(X.dotplot_stats(X.normalize_log1p(t.rna), clusters(t), panel_genes(t)), 6, "fraction", "mean_value")
+    v = values(t)
+    return r(X.dotplot_stats(v, cut_lineage(clusters(v)), panel_genes(t)), 6, "fraction", "mean_value")
 
 
 @add("a17_dotplot_subset", duck("""select "cluster", gene, round(fraction, 6) fraction, round(mean_value, 6) mean_value from gm where "cluster" in ('BUILDING', 'MACHINERY')""", "rna", ctes=_GM))
 def a17_subset(t):
-    return r(X.dotplot_stats(X.normalize_log1p(t.rna), clusters(t), panel_genes(t), only=["BUILDING", "MACHINERY"]), 6, "fraction", "mean_value")
+    v = values(t)
+    return r(X.dotplot_stats(v, cut_lineage(clusters(v)), panel_genes(t), only=["BUILDING", "MACHINERY"]), 6, "fraction", "mean_value")
 
 
 _WIL = _LOG + """,
@@ -146,8 +154,8 @@ wil as (select w."cluster", g.gene, coalesce(rs, 0) + coalesce(k, 0)*(n - nzn) +
 wz as (select *, (rank_sum - n1*(n+1)/2)/sqrt(n1*(n-n1)*(n+1)/12) score from wil)"""
 
 
-def wilcoxon(t):
-    out = X.rank_genes_wilcoxon(X.normalize_log1p(t.rna).withColumn("value", F.round("value", 9)), clusters(t))
+def wilcoxon(v, groups):
+    out = X.rank_genes_wilcoxon(v.withColumn("value", F.round("value", 9)), groups)
     return r(out, 6, "score")
 
 
@@ -156,7 +164,8 @@ _WIL = _WIL.replace("from lg),\nwsz", "from (select gene, cell_type, round(v, 9)
 
 @add("m18_rank_genes_wilcoxon", duck("""select "cluster", gene, round(rank_sum, 3) rank_sum, round(score, 6) score from wz""", "rna", ctes=_WIL))
 def m18(t):
-    return r(wilcoxon(t), 3, "rank_sum")
+    v = values(t)
+    return r(wilcoxon(v, cut_lineage(clusters(v))), 3, "rank_sum")
 
 
 _TOPM = _WIL + """,
@@ -165,7 +174,8 @@ tm as (select * from (select "cluster", gene, round(score, 6) score, row_number(
 
 @add("w15_top_markers", duck("select * from tm", "rna", ctes=_TOPM))
 def w15(t):
-    return X.top_markers(wilcoxon(t), 10).select("cluster", "gene", "score", "marker_rank")
+    v = values(t)
+    return X.top_markers(wilcoxon(v, cut_lineage(clusters(v))), 10).select("cluster", "gene", "score", "marker_rank")
 
 
 _SC = _GM + """,
@@ -179,32 +189,38 @@ mg as (select *, top_score - second_score score_margin, case when round(top_scor
 
 @add("m19_panel_scores", duck("""select "cluster", panel, round(score, 5) score from ps""", "rna", ctes=_SC))
 def m19(t):
-    return r(X.panel_scores(X.normalize_log1p(t.rna), clusters(t), _PANELS), 5, "score")
+    v = values(t)
+    return r(X.panel_scores(v, cut_lineage(clusters(v)), _PANELS), 5, "score")
 
 
 _MARGIN_COLS = """"cluster", top_candidate, second_candidate, round(top_score, 5) top_score, round(second_score, 5) second_score, round(score_margin, 5) score_margin, status, proposed_cell_type"""
 
 
-def margins(t):
-    out = X.top_two_margin(X.panel_scores(X.normalize_log1p(t.rna), clusters(t), _PANELS), 0.5)
+def margins(v, groups):
+    out = X.top_two_margin(X.panel_scores(v, groups, _PANELS), 0.5)
     return r(out, 5, "top_score", "second_score", "score_margin")
 
 
 @add("w14_top_two_margin", duck(f"select {_MARGIN_COLS} from mg", "rna", ctes=_SC))
 def w14(t):
-    return margins(t)
+    v = values(t)
+    return margins(v, cut_lineage(clusters(v)))
 
 
 @add("a22_annotation_audit", duck(f"""select {_MARGIN_COLS}, n cells, (select string_agg(gene, ',' order by marker_rank) from tm where tm."cluster" = mg."cluster") top_markers
  from mg join sz using ("cluster")""", "rna", ctes=_SC + "," + _TOPM.replace(_LOG, "").strip().lstrip(",")))
 def a22(t):
-    return X.annotation_audit(clusters(t), X.top_markers(wilcoxon(t), 10), margins(t))
+    v = values(t)
+    groups = cut_lineage(clusters(v))
+    return X.annotation_audit(groups, X.top_markers(wilcoxon(v, groups), 10), margins(v, groups))
 
 
 @add("a22_audit_without_panels", duck("""select "cluster", n cells, (select string_agg(gene, ',' order by marker_rank) from tm where tm."cluster" = sz."cluster") top_markers, 'Unassigned' proposed_cell_type, 'pending_annotation_review' status
  from (select cell_type "cluster", count(*) n from (select distinct cell_id, cell_type from rna) group by 1) sz""", "rna", ctes=_TOPM))
 def a22_plain(t):
-    return X.annotation_audit(clusters(t), X.top_markers(wilcoxon(t), 10))
+    v = values(t)
+    groups = cut_lineage(clusters(v))
+    return X.annotation_audit(groups, X.top_markers(wilcoxon(v, groups), 10))
 
 
 @add("m20_expected_doublet_rate", duck("select sample_id, count(*) cells, 0.004*count(*)/1000 expected_doublet_rate from (select distinct sample_id, cell_id from rna) group by 1".replace("0.004*count(*)/1000", "round(0.004::double*count(*)/1000, 9)"), "rna"))
