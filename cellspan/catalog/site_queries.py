@@ -34,14 +34,7 @@ union all select 'preflight', count(*) filter (pos>=1 and mc>=0 and cov>=0 and m
 union all select 'count', count(*) filter (pos>=1 and mc>=0 and cov>=mc), count(*) filter (not (pos>=1 and mc>=0 and cov>=mc)) from shifted
 """, "sites", ctes=_SHIFTED))
 def p2(t):
-    shifted = _shifted(t)
-    out = None
-    for rule in ("convert", "preflight", "count"):
-        ok = S.valid_sites(shifted, rule).agg(F.count("*").alias("valid"))
-        bad = S.invalid_sites(shifted, rule).agg(F.count("*").alias("invalid"))
-        one = ok.select(F.lit(rule).alias("rule"), "valid", bad.scalar().alias("invalid"))
-        out = one if out is None else out.unionByName(one)
-    return out
+    return S.rule_counts(_shifted(t), ("convert", "preflight", "count"))
 
 
 @add("p3_coverage_projection", duck("select cell_id, chrom, pos, mc, cov, cov - mc uc, round(100.0*mc/cov, 6) pct from cg", "cg"))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -47,6 +49,13 @@ def invalid_sites(sites: DataFrame, rule: str = "convert") -> DataFrame:
     return sites.where(~F.coalesce(F.expr(SITE_RULES[rule]), F.lit(False)))
 
 
+def rule_counts(sites: DataFrame, rules: Sequence[str] = tuple(SITE_RULES)) -> DataFrame:
+    """``rule, valid, invalid``: the rows that :func:`valid_sites` and :func:`invalid_sites` give for each rule, from one reading."""
+    ok = [F.coalesce(F.expr(SITE_RULES[rule]), F.lit(False)) for rule in rules]
+    counts = F.array(*[F.struct(F.lit(rule).alias("rule"), F.count_if(good).alias("valid"), F.count_if(~good).alias("invalid")) for rule, good in zip(rules, ok)])
+    return sites.agg(counts.alias("c")).select(F.inline("c"))
+
+
 def guarded_sites(sites: DataFrame, rule: str = "convert") -> Guard:
     """``sites`` under the contract of ``rule``: a row that breaks it stops the run at the sink and is named."""
     shown = [c for c in ("cell_id", "path", "chrom", "pos", "mc", "cov") if c in sites.columns]
