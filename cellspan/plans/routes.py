@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from cellspan.operators import batch, cells, expression, features, graph, intervals, linalg, methylation, neighbors, regions, sites
 from cellspan.plans.guards import checked
 from cellspan.plans.sizes import broadcast_if_small
-from cellspan.plans.storage import cut_lineage
+from cellspan.plans.storage import cut_lineage, stored
 
 
 @dataclass(frozen=True)
@@ -102,6 +102,7 @@ def expression_clusters(
 ) -> tuple[DataFrame, DataFrame]:
     """Counts to ``(cell_id, cluster)`` and one-versus-rest marker scores: QC, normalisation, variable
     genes, scaling, components, batch correction by sample, mutual neighbours, communities."""
+    counts = stored(counts)
     good = expression.cell_qc(expression.cell_metrics(counts), **(qc or {}))
     kept = expression.gene_min_cells(cells.restrict_to_cells(counts, good), min_gene_cells)
     values = cut_lineage(expression.normalize_log1p(kept))
