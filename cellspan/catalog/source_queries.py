@@ -66,7 +66,7 @@ def s2(t):
 @add("s2_discover_cells", duck("select distinct sample_id, sample_id || '_x' cell_id from sites", "sites"))
 def s2_discover(t):
     path = scratch_path(t.spark, "cells")
-    t.sites.select("sample_id", F.col("sample_id").alias("s"), F.concat_ws("\t", "chrom", "pos", F.lit("+"), "context", "mc", "cov").alias("value")).repartition("s").select("s", "value").write.partitionBy("s").option("compression", "gzip").text(path)
+    t.sites.select("sample_id", F.col("sample_id").alias("s"), F.concat_ws("\t", "chrom", "pos", F.lit("+"), "context", "mc", "cov").alias("value")).repartition("value").select("s", "value").write.partitionBy("s").option("compression", "gzip").text(path)
     rows = [(f"S{i}", f"{path}/s=S{i}", "**/*.gz", f"S{i}", r"part-.*\.gz", "x") for i in range(5)]
     samples = t.spark.createDataFrame(rows, "sample_id string, allc_root string, allc_glob string, cell_id_prefix string, allc_cell_id_regex string, allc_cell_id_replacement string")
     return SF.discover_cells(samples).select("sample_id", "cell_id").distinct()
@@ -103,7 +103,7 @@ def s5(t):
 
 @add("s6_read_10x_mtx", duck("""select 'L_' || cell_id cell_id, 'L' sample_id, gene, "count" from rna""", "rna"))
 def s6(t):
-    spark, path = t.spark, scratch_path(t.spark, "mtx")
+    spark, path = t.store("rna").spark, scratch_path(t.spark, "mtx")
     genes = global_row_number(t.rna.select("gene").distinct(), [F.col("gene")], "g")
     cells = global_row_number(t.rna.select("cell_id").distinct(), [F.col("cell_id")], "c")
     genes.orderBy("g").select(F.concat_ws("\t", F.concat(F.lit("id"), "g"), "gene", F.lit("Gene Expression")).alias("value")).write.text(f"{path}/features.tsv")
@@ -173,13 +173,16 @@ def w4(t):
 
 @add("w4_order_summaries", duck("select * from brk where unsorted > 0 or blocks > 1", "sites", ctes=_LINES))
 def w4_summaries(t):
-    # the lines as text files, one a path, as per-cell files are
+    # the lines as text files: a folder a path, of files whose numbers follow the lines, so that no task holds a whole path
     folder = scratch_path(t.spark, "site-lines")
     text = F.concat_ws("\t", "chrom", "pos").alias("value")
-    _lines(t).repartition("path").sortWithinPartitions("path", "line_no").select("path", text).write.partitionBy("path").text(folder)
+    lines = _lines(t).repartitionByRange("path", "line_no").sortWithinPartitions("path", "line_no")
+    lines.select("path", text).write.partitionBy("path").text(folder)
     parts = F.split("line", "\t")
+    # a file's number goes before the place in it; a terabyte a file leaves room for eight million
+    block = F.regexp_extract("path", r"/part-(\d+)-", 1).cast("bigint") * F.lit(1 << 40) + F.col("__block")
     lines = read_lines(t.spark, folder).select(
-        F.regexp_extract("path", "/path=([^/]+)/", 1).alias("path"), "__block", parts[0].alias("chrom"), parts[1].cast("bigint").alias("pos"))
+        F.regexp_extract("path", "/path=([^/]+)/", 1).alias("path"), block.alias("__block"), parts[0].alias("chrom"), parts[1].cast("bigint").alias("pos"))
     return P.stitched_site_check(P.order_summaries(lines))
 
 
@@ -202,6 +205,7 @@ def t1(t):
     source, out = scratch_path(t.spark, "stream-in"), scratch_path(t.spark, "stream-out")
     # a cell lives in exactly one file, as in the per-cell input
     t.sites.repartition(6, "cell_id").write.parquet(source)
+    t.__dict__["sites"] = t.spark.read.parquet(source)
     sites = t.spark.readStream.schema(t.sites.schema).option("maxFilesPerTrigger", 2).parquet(source)
-    RC.stream_region_counts(sites, t.regions, out).awaitTermination()
+    RC.stream_region_counts(sites, t.store("regions").regions, out).awaitTermination()
     return RC.read_region_counts(t.spark, out)
