@@ -43,6 +43,7 @@ matrix as (select s.cell_id, f.feature_id, avg(r) "value", count(*) n_sites from
 select cell_id, feature_id, round("value", 6) "value", n_sites, n observed_cells, round(case when n >= 12 and sd > 1e-9 then ("value"-m)/sd end, 4) z from (
  select *, avg("value") over w m, stddev_pop("value") over w sd, count(*) over w n from matrix window w as (partition by feature_id))""", "cg", "chrom_order", ctes=_ROUTE))
 def differential_matrix(t):
+    t.store("sites")
     out = routes.differential_matrix(
         t.sites, t.cells, t.chrom_order, round_sites=True, step=500, threshold=0.1, max_raw_p=0.1, min_abs_diff=0.1, top=5, min_observed=12,
         cell_filter={"min_sites": 15, "min_pct": 60, "max_pct": 95},
