@@ -6,7 +6,7 @@ from cellspan.catalog.base import duck, registry
 from cellspan.catalog.interval_queries import _COUNTS, region_counts
 from cellspan.operators import preflight as P
 from cellspan.plans.prefix import global_row_number
-from cellspan.plans.storage import scratch_path
+from cellspan.plans.storage import scratch_path, stored
 from cellspan.sources import inventory as V
 from cellspan.sources import matrix_files as MF
 from cellspan.sources import site_files as SF
@@ -143,7 +143,7 @@ def s11(t):
 @add("s12_file_checksums")
 def s12(t):
     folder = f"{t.sf_dir}/"
-    sums = V.file_checksums(t.spark, folder)
+    sums = stored(V.file_checksums(t.spark, folder))
     declared = sums.select("path", F.upper("digest").alias("digest"))
     return sums.select(F.element_at(F.split("path", "/"), -1).alias("file"), "digest").withColumn("mismatches", V.checksum_mismatches(sums, declared).agg(F.count("*")).scalar())
 

@@ -1,7 +1,10 @@
 """Readers, writers and the file stream on small files."""
 
 import gzip
+import hashlib
 
+import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 import pytest
 from pyspark.sql import functions as F
 
@@ -157,6 +160,69 @@ def test_checksums(spark, tmp_path):
     assert V.checksum_mismatches(sums, declared.withColumn("digest", F.lit("0"))).count() == 1
 
 
+def _digests(folder, algorithm):
+    return {p.name: hashlib.new(algorithm, p.read_bytes()).hexdigest() for p in folder.iterdir()}
+
+
+@pytest.mark.parametrize("algorithm", ["sha256", "md5"])
+def test_checksums_of_files_read_in_pieces(spark, tmp_path, algorithm):
+    names = ["one", "a b.gz", "100%25.txt", "x#y=1", "é", "p", "q"]
+    for name, size in zip(names, [1, 1000, 1001, 1064, 5000, 64, 4_999], strict=True):
+        (tmp_path / name).write_bytes(hashlib.shake_128(name.encode()).digest(size))
+    sums = V.file_checksums(spark, str(tmp_path), algorithm, piece=1000).collect()
+    assert {r["path"].rpartition("/")[2]: r["digest"] for r in sums} == _digests(tmp_path, algorithm) and len(sums) == len(names)
+    assert all(r["size"] == (tmp_path / r["path"].rpartition("/")[2]).stat().st_size for r in sums)
+    with pytest.raises(ValueError, match="positive"):
+        V.file_checksums(spark, str(tmp_path), piece=0)
+
+
+def _first_turn(folder, **sizes):
+    for name, size in sizes.items():
+        (folder / name).write_bytes(name.encode() * size)
+    rows = [{"path": f"file:{folder}/{name}", "size": size, "at": 0, "state": None, "digest": None} for name, size in sizes.items()]
+    types = {"path": pa.string(), "size": pa.int64(), "at": pa.int64(), "state": pa.binary(), "digest": pa.string()}
+    return pa.RecordBatch.from_pylist(rows, schema=pa.schema(types))
+
+
+def test_a_task_reads_one_piece_of_all_its_files(tmp_path):
+    batch, places, digests = _first_turn(tmp_path, a=700, b=2500), [], {}
+    while batch.num_rows:
+        (batch,) = V._read_on("sha256", 1000)(iter([batch]))
+        places.append(batch["at"].to_pylist())
+        done = pa.compute.is_valid(batch["digest"])
+        digests |= {r["path"][-1]: r["digest"] for r in batch.filter(done).to_pylist()}
+        batch = batch.filter(pa.compute.invert(done))
+    assert places == [[700, 300], [1300], [2300], [2500]]
+    assert digests == _digests(tmp_path, "sha256")
+
+
+def test_a_file_that_shrinks_has_no_checksum(tmp_path):
+    batch = _first_turn(tmp_path, a=700)
+    (tmp_path / "a").write_bytes(b"a")
+    with pytest.raises(OSError, match="ended at 1 of 700"):
+        list(V._read_on("sha256", 1000)(iter([batch])))
+
+
+def test_checksums_without_a_digest_to_take_up_again(tmp_path, monkeypatch):
+    monkeypatch.setattr(V, "_library", lambda algorithm: None)
+    (batch,) = V._read_on("sha256", 1000)(iter([_first_turn(tmp_path, a=700, b=2500)]))
+    assert dict(zip("ab", batch["digest"].to_pylist(), strict=True)) == _digests(tmp_path, "sha256")
+
+
+def test_checksum_of_a_file_beyond_2_gb(spark, tmp_path):
+    # sparse: it takes no disk
+    with open(tmp_path / "big.gz", "wb") as file:
+        for place in (0, 1 << 30, (1 << 31) + 12_345):
+            file.seek(place)
+            file.write(b"abc")
+    (tmp_path / "small").write_bytes(b"abc")
+    with open(tmp_path / "big.gz", "rb") as file:
+        want = hashlib.file_digest(file, "md5").hexdigest()
+    sums = V.file_checksums(spark, str(tmp_path), "md5")
+    got = {r["path"].rpartition("/")[2]: (r["size"], r["digest"]) for r in sums.collect()}
+    assert got == {"big.gz": ((1 << 31) + 12_348, want), "small": (3, "900150983cd24fb0d6963f7d28e17f72")}
+
+
 def test_matrix_store_refuses_bad_counts(spark, tmp_path):
     obs = spark.createDataFrame([("a",)], "cell_id string")
     var = spark.createDataFrame([("f",)], "feature_id string")
