@@ -54,6 +54,6 @@ def differential_matrix(t):
 @add("route_expression_clusters")
 def expression_clusters(t):
     clusters, _ = routes.expression_clusters(
-        t.rna, qc={"min_genes": 20, "max_genes": 100, "min_counts": 300, "max_mt": 20}, genes=60, components=10, iterations=5, correct_batches=False,
+        t.rna, qc={"min_genes": 20, "max_genes": 100, "min_counts": 300, "max_mt": 20}, genes=60, components=10, iterations=5, correct_batches=False, markers=False,
     )
     return clusters

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cellspan.plans.prefix import global_row_number
+from cellspan.plans.sizes import BROADCAST_ROWS
 from cellspan.plans.storage import cut_lineage
 
 SELF_WEIGHT = 0.5
@@ -20,10 +21,14 @@ def _propagate(edges: DataFrame, labels: DataFrame, keys: list[str], iterations:
 
     Highest rounded vote wins, ties take the smallest label, so runs agree.
     """
+    # own votes are loops; edges are dealt by node once, so a round's votes are counted where they are
+    loops = labels.select(*keys, F.col("node").alias("src"), F.col("node").alias("dst"), F.lit(SELF_WEIGHT).alias("weight"))
+    voting = cut_lineage(edges.select(*keys, "src", "dst", "weight").unionByName(loops).repartition("src"))
+    small = labels.count() <= BROADCAST_ROWS
     for _ in range(iterations):
-        votes = edges.join(labels.select(*keys, F.col("node").alias("dst"), "label"), [*keys, "dst"]).select(*keys, F.col("src").alias("node"), "label", "weight")
-        own = labels.select(*keys, "node", "label", F.lit(SELF_WEIGHT).alias("weight"))
-        tally = votes.unionByName(own).groupBy(*keys, "node", "label").agg(F.round(F.sum("weight"), 6).alias("v"))
+        now = labels.select(*keys, F.col("node").alias("dst"), "label")
+        votes = voting.join(F.broadcast(now) if small else now, [*keys, "dst"]).select(*keys, F.col("src").alias("node"), "label", "weight")
+        tally = (votes if small else votes.repartition("node")).groupBy(*keys, "node", "label").agg(F.round(F.sum("weight"), 6).alias("v"))
         labels = cut_lineage(tally.groupBy(*keys, "node").agg(F.min_by("label", F.struct(-F.col("v"), F.col("label"))).alias("label")))
     return labels
 

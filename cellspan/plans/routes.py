@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cellspan.operators import batch, cells, expression, features, graph, intervals, linalg, methylation, neighbors, regions, sites
+from cellspan.plans.bounded import bounded_rows
 from cellspan.plans.guards import checked
 from cellspan.plans.sizes import broadcast_if_small
 from cellspan.plans.storage import cut_lineage, stored
@@ -98,19 +99,21 @@ def differential_matrix(
 
 def expression_clusters(
     counts: DataFrame, *, qc: dict | None = None, min_gene_cells: int = 3, genes: int = 2000, components: int = 50,
-    k: int = 15, iterations: int = 10, correct_batches: bool = True,
-) -> tuple[DataFrame, DataFrame]:
+    k: int = 15, iterations: int = 10, correct_batches: bool = True, markers: bool = True,
+) -> tuple[DataFrame, DataFrame | None]:
     """Counts to ``(cell_id, cluster)`` and one-versus-rest marker scores: QC, normalisation, variable
-    genes, scaling, components, batch correction by sample, mutual neighbours, communities."""
-    counts = stored(counts)
-    good = expression.cell_qc(expression.cell_metrics(counts), **(qc or {}))
-    kept = expression.gene_min_cells(cells.restrict_to_cells(counts, good), min_gene_cells)
-    values = cut_lineage(expression.normalize_log1p(kept))
-    chosen = cut_lineage(expression.highly_variable_genes(values, genes))
-    members = values.select("cell_id", "sample_id").distinct()
-    scores, _ = linalg.pca(expression.scale_genes(values, members, chosen), components)
+    genes, scaling, components, batch correction by sample, mutual neighbours, communities.
+
+    Without ``markers`` their scores, which no cluster depends on, are not derived."""
+    packed = expression.packed_cells(counts)
+    good = cut_lineage(expression.cell_qc(expression.cell_metrics(expression.unpacked(packed)), **(qc or {})).select("cell_id"))
+    kept = expression.packed_totals(expression.packed_gene_min_cells(stored(cells.restrict_to_cells(packed, good)), min_gene_cells))
+    values = expression.packed_values(kept)
+    names = sorted(r["gene"] for r in bounded_rows(expression.highly_variable_genes(values, genes), genes, "variable genes"))
+    members = kept.select("cell_id", "sample_id")
+    scores, _ = linalg.pca(expression.scale_rows(stored(expression.chosen_counts(kept, names)), len(names)), components)
     if correct_batches:
-        scores = batch.harmonize(scores.join(members, "cell_id").withColumnRenamed("sample_id", "batch"))
+        scores = batch.harmonize(scores.withColumnRenamed("sample_id", "batch"))
     edges = neighbors.mutual_edges(neighbors.knn(scores.select("cell_id", "vec"), k))
     clusters = cut_lineage(graph.graph_communities(edges, members, iterations))
-    return clusters, expression.rank_genes_wilcoxon(values, clusters, "cluster")
+    return clusters, expression.rank_genes_wilcoxon(values, clusters, "cluster") if markers else None
